@@ -1,0 +1,21 @@
+"""Shared folders for checks that write and read files."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder under the cluster's shared ``spark.checkpoint.dir``.
+
+    Only a local session without that setting gets a folder of this machine.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/parcelwise-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="parcelwise-")

@@ -175,7 +175,7 @@ typed AS (SELECT id, city, {label('type')} AS type, {num('"squareMeters"')} AS a
 SELECT * EXCLUDE (area) FROM typed WHERE id IS NOT NULL AND city IS NOT NULL AND area BETWEEN 10 AND 300 AND squaremeters IS NOT NULL
  AND price>0 AND latitude IS NOT NULL AND longitude IS NOT NULL AND source_date IS NOT NULL"""
 
-NATIONS = ["IRAN", "IRAQ", "INDIA", "CHINA", "ALGERIA", "UNITED", "united states", "ROMANIA", "OMAN"]
+NAMES = ["nation_12", "NATION_1", "Nation_2", "NATION_7", "NATION_24"]
 
 ORACLE: dict[str, str] = {
     "price_per_sqm": f"{L} SELECT row_key, id, {rnd(PPS, 2)} AS price_per_sqm FROM listings",
@@ -225,7 +225,7 @@ ORACLE: dict[str, str] = {
     "write_star": f"{L} SELECT listing_type, city, count(*) AS n, {rnd('max(price)', 2)} AS max_price FROM listings GROUP BY listing_type, city",
     "write_rejects": f"{POI_VALID} SELECT event_id, source_file, _rejection_reason FROM valid WHERE _rejection_reason<>''",
     "match_city": f"""{with_views('indicator_rows')} SELECT o_orderkey, unit, city FROM (SELECT o_orderkey, unit,
-        CASE {" ".join(f"WHEN unit ILIKE '%{n}%' THEN '{n}'" for n in NATIONS)} END AS city FROM indicator_rows) t WHERE city IS NOT NULL""",
+        CASE {" ".join(f"WHEN unit ILIKE '%{n}%' THEN '{n}'" for n in NAMES)} END AS city FROM indicator_rows) t WHERE city IS NOT NULL""",
     "merge_indicators": f"""{with_views('indicator_rows')}, i AS (SELECT unit AS "Miasto_GUS", {plain('unit')} AS "Glowne_Miasto", {PERIOD_END} AS "Data", indicator, value, o_orderkey FROM indicator_rows),
         f AS (SELECT *, row_number() OVER (PARTITION BY "Miasto_GUS", "Data", indicator ORDER BY o_orderkey) AS p FROM i)
         SELECT "Miasto_GUS", "Glowne_Miasto", "Data", {", ".join(f'''max(value) FILTER (WHERE p=1 AND indicator='{n}') AS "{n}"''' for n in ("Populacja_Mezczyzni", "Populacja_Kobiety", "Przecietne_Wynagrodzenie_Brutto", "Oferty_Pracy"))}

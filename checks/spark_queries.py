@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.bridge import view
-from checks.session import scratch_folder
+from parcelwise.sources.scratch import scratch_folder
 from parcelwise.functions import scalars as S
 from parcelwise.operators import demography as D
 from parcelwise.operators import imputation as I
@@ -244,13 +244,12 @@ def write_rejects(spark, sf):
 # --- demography ---------------------------------------------------------------------------------
 
 
-def nations() -> list[str]:
-    """City list in an order that makes one city name part of another unit's text."""
-    return ["IRAN", "IRAQ", "INDIA", "CHINA", "ALGERIA", "UNITED", "united states", "ROMANIA", "OMAN"]
+# Some of these are part of other unit names, so their order decides.
+CITY_NAMES = ["nation_12", "NATION_1", "Nation_2", "NATION_7", "NATION_24"]
 
 
 def match_city(spark, sf):
-    return D.match_city(view(spark, sf, "indicator_rows"), "unit", nations(), "city").select("o_orderkey", "unit", "city")
+    return D.match_city(view(spark, sf, "indicator_rows"), "unit", CITY_NAMES, "city").select("o_orderkey", "unit", "city")
 
 
 def merge_indicators(spark, sf):

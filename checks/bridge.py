@@ -8,7 +8,7 @@ supplier's nation as the city. Whole tables, no sampling.
 from __future__ import annotations
 
 LISTINGS = """
-SELECT concat(CAST(l_orderkey AS STRING),'-',CAST(l_linenumber AS STRING),'-',CAST(l_partkey AS STRING),'-',CAST(l_suppkey AS STRING)) AS row_key,
+SELECT concat(CAST(l_orderkey AS STRING),'-',CAST(l_linenumber AS STRING),'-',CAST(l_partkey AS STRING),'-',CAST(l_suppkey AS STRING),'-',CAST(CAST(round(l_extendedprice*100.0E0,0) AS BIGINT) AS STRING)) AS row_key,
  concat(CAST(l_partkey AS STRING),'-',CAST(l_suppkey AS STRING)) AS id,
  l_orderkey*8+l_linenumber AS seq,
  CASE WHEN l_returnflag='R' THEN 'rent' ELSE 'sell' END AS listing_type,

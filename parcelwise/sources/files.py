@@ -23,12 +23,15 @@ def read_delimited(
     sep: str = ",",
     columns: Sequence[str] | None = None,
     file_column: str | None = None,
+    position_column: str | None = None,
 ) -> DataFrame:
     """Text files with a header, every column a string; a glob reads all its matches.
 
     With ``columns`` nothing is looked up in the files when the plan is made, and a file
     whose header differs fails instead of being read in the wrong order.
-    ``file_column`` adds the name of the file each row came from.
+    ``file_column`` adds the name of the file each row came from, ``position_column`` a
+    value that orders the rows of a file as they stand in it (the block that was read,
+    then the row's turn in it).
     """
     reader = spark.read.option("header", True).option("sep", sep)
     if columns is not None:
@@ -37,6 +40,9 @@ def read_delimited(
     df = reader.csv(paths if isinstance(paths, str) else list(paths))
     if file_column is not None:
         df = df.withColumn(file_column, F.col("_metadata.file_name"))
+    if position_column is not None:
+        turn = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row"))
+        df = df.withColumn(position_column, turn)
     return df
 
 
@@ -72,23 +78,24 @@ def read_monthly_listings(
     return tag_from_filename(merged, "source_file")
 
 
-def read_listings(spark: SparkSession, folder: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_listings(spark: SparkSession, folder: str, **options) -> DataFrame:
     """The sale and rent files of a raw folder, tagged ``listing_type``."""
     frames = {
-        kind: read_delimited(spark, f"{folder}/{name}", columns=columns, file_column="source_file")
+        kind: read_delimited(spark, f"{folder}/{name}", file_column="source_file", **options)
         for kind, name in LISTING_FILES.items()
     }
     return union_tagged(frames, "listing_type")
 
 
-def read_demography(spark: SparkSession, folder: str) -> DataFrame:
-    return read_delimited(spark, f"{folder}/{DEMOGRAPHY_GLOB}", file_column="source_file")
+def read_demography(spark: SparkSession, folder: str, **options) -> DataFrame:
+    """All demography files of a raw folder."""
+    return read_delimited(spark, f"{folder}/{DEMOGRAPHY_GLOB}", file_column="source_file", **options)
 
 
-def read_poi(spark: SparkSession, folder: str) -> DataFrame:
+def read_poi(spark: SparkSession, folder: str, **options) -> DataFrame:
     """The point-of-interest files of a raw folder, tagged ``poi_type``."""
     frames = {
-        kind: read_delimited(spark, f"{folder}/{name}", sep=";", file_column="source_file")
+        kind: read_delimited(spark, f"{folder}/{name}", sep=";", file_column="source_file", **options)
         for kind, name in POI_FILES.items()
     }
     return union_tagged(frames, "poi_type")

@@ -13,17 +13,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local: list[tempfile.TemporaryDirectory] = []
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder under the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of this machine.
+    Like checkpoint files, what is written there stays until the cluster clears that
+    folder. Only a local session without the setting gets a folder of this machine,
+    which goes away with the process.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/parcelwise-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="parcelwise-")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        if not _local:
+            _local.append(tempfile.TemporaryDirectory(prefix="parcelwise-", ignore_cleanup_errors=True))
+        shared = _local[0].name
+    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, path: str) -> DataFrame:

@@ -1,0 +1,77 @@
+import pytest
+
+from parcelwise.operators import quality as Q
+
+
+def test_validate_listings(spark):
+    df = spark.createDataFrame(
+        [
+            (1, "50", "100", "2024-04"), (2, "9.99", "100", "2024-04"), (3, "10", "0", " "), (4, "300.9", "-1", None),
+            (5, "300", "1", "2024-04"), (6, "NaN", "x", "2024-04"),
+        ],
+        "i int, squareMeters string, price string, source_date string",
+    )
+    got = {r["i"]: r[Q.REASON] for r in Q.validate_rows(df, Q.LISTING_RULES).collect()}
+    assert got == {
+        1: "",
+        2: "squareMeters_out_of_range",
+        3: "brak_source_date;brak_daty;price_invalid",
+        4: "brak_source_date;brak_daty;squareMeters_out_of_range;price_invalid",
+        5: "",
+        6: "squareMeters_out_of_range;price_invalid",
+    }
+
+
+def test_duplicates_keep_first_and_null_equals_null(spark):
+    df = spark.createDataFrame(
+        [(1, "a", "x"), (2, "a", "x"), (3, None, "x"), (4, None, "x"), (5, None, None), (6, "b", "x")],
+        "i int, p string, q string",
+    )
+    got = {r["i"]: r["is_duplicate"] for r in Q.flag_duplicates(df, ["p", "q"], ["i"]).collect()}
+    assert got == {1: False, 2: True, 3: False, 4: True, 5: False, 6: False}
+
+
+def test_hot_key_is_flagged_without_a_window(spark):
+    df = spark.range(3000).selectExpr("id", "if(id % 3 = 0, -1, id) AS key")
+    flagged = Q.flag_duplicates(df, ["key"], ["id"])
+    assert "Window" not in flagged._jdf.queryExecution().executedPlan().toString()
+    assert flagged.filter("is_duplicate").count() == 999
+
+
+def test_poi_reason_order_and_split(spark):
+    df = spark.createDataFrame(
+        [(1, "A", "1", "2", "f"), (2, "A", "1", "2", "f"), (3, "A", "1", "2", "g"), (4, "", "-1", None, "f")],
+        "i int, City string, LAT string, LON string, source_file string",
+    )
+    validated = Q.validate_rows(df, Q.POI_RULES, ["i"], ["source_file"])
+    good, bad = Q.split_rejects(validated)
+    assert sorted(r["i"] for r in good.collect()) == [1, 3]
+    assert {r["i"]: r[Q.REASON] for r in bad.collect()} == {
+        2: "duplikat", 4: "brak_City;brak_LON;lat_invalid;lon_invalid",
+    }
+
+
+def test_gate(spark):
+    df = spark.createDataFrame([("a", ""), ("a", "r"), ("b", "r")], f"source_file string, {Q.REASON} string")
+    report = Q.quality_report(df)
+    with pytest.raises(Q.QualityError) as error:
+        Q.enforce_gate(report, ["a", "b", "c"])
+    assert str(error.value) == "c: empty file; b: every row rejected"
+    assert Q.enforce_gate(report.filter("source_file = 'a'"), ["a"]) == (1, 1)
+
+
+def test_dedup_keep_first(spark):
+    df = spark.createDataFrame([("a", 2, "y"), ("a", 1, "x"), ("b", 5, None)], "k string, o int, v string")
+    got = Q.dedup_keep_first(df, ["k"], ["o"])
+    assert got.columns == ["k", "o", "v"]
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 1, "x"), ("b", 5, None)]
+
+
+def test_month_gaps(spark):
+    df = spark.createDataFrame([("2024-01-01",), ("2024-05-01",), ("2024-02-01",), ("2024-02-01",), (None,)], "source_date string")
+    assert [tuple(r) for r in Q.month_gaps(df).collect()] == [("2024-02-01", "2024-05-01", 3)]
+
+
+def test_recheck(spark):
+    df = spark.createDataFrame([(10.0, 1.0), (300.9, 1.0), (20.0, 0.0), (None, 1.0)], "squaremeters double, price double")
+    assert [tuple(r) for r in Q.quality_recheck(df).collect()] == [(10.0, 1.0)]

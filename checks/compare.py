@@ -29,6 +29,10 @@ def session(cpus: str = "8") -> SparkSession:
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
+        # Wide projections make methods that the JVM does not compile; leave those unfused.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # Few bytes can mean much work here, so small partitions are kept apart.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

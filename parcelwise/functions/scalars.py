@@ -39,8 +39,7 @@ def normalize_city(c: Column | str) -> Column:
 
 def missing_label(c: Column | str, label: str = MISSING_LABEL) -> Column:
     """Trimmed text, or ``label`` where there is none."""
-    c = as_col(c)
-    return F.when(is_blank(c), F.lit(label)).otherwise(F.trim(c))
+    return F.coalesce(F.nullif(F.trim(as_col(c)), F.lit("")), F.lit(label))
 
 
 def is_unlabelled(c: Column | str, label: str = MISSING_LABEL, blank_too: bool = True) -> Column:
@@ -55,8 +54,7 @@ def is_unlabelled(c: Column | str, label: str = MISSING_LABEL, blank_too: bool =
 
 def to_double(c: Column | str) -> Column:
     """Number or NULL; NaN counts as unparseable."""
-    x = as_col(c).try_cast("double")
-    return F.when(~F.isnan(x), x)
+    return F.nanvl(as_col(c).try_cast("double"), F.lit(None).cast("double"))
 
 
 def to_int(c: Column | str) -> Column:

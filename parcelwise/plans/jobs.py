@@ -136,7 +136,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--raw", required=True, help="input folder")
     parser.add_argument("--out", required=True, help="output folder")
     args = parser.parse_args(argv)
-    spark = SparkSession.builder.appName(f"parcelwise-{args.job}").getOrCreate()
+    # Wide projections make methods that the JVM does not compile; leave those unfused.
+    builder = SparkSession.builder.config("spark.sql.codegen.hugeMethodLimit", "8000")
+    spark = builder.appName(f"parcelwise-{args.job}").getOrCreate()
 
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{args.raw}/{name}")

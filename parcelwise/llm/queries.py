@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, language, packing, quality, token_counts
+from parcelwise.llm import chat, language, neardup, packing, quality, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), words=4, similarity=0.8)
+
+
 def chat_digests(turns: DataFrame) -> DataFrame:
     """The conversations and number -1, formatted, read back and digested."""
     spark = turns.sparkSession
@@ -80,6 +84,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_packing": op3_packing,
     "op7_quality_rules": op7_quality_rules,

@@ -19,9 +19,11 @@ padded for being the end. Nothing is shuffled; the sequence number holds the par
 from __future__ import annotations
 
 import re
+import struct
 from bisect import bisect_right
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -40,17 +42,19 @@ class WordIds(dict):
     The tokenizer drops white space and never joins what it separates, so a text's ids are
     those of its words. A plain word is asked of the library's model directly, in lower case
     and apart from punctuation behind it, which its rules always cut off; anything else goes
-    through the whole library. At ``limit`` words the table starts anew.
+    through the whole library. At ``limit`` words the table becomes the older generation, which
+    is still looked at, so frequent words stay and memory is bounded.
     """
 
     #: Letters whose lower case and normal form are one character each.
     _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.limit = limit
+        self.older: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         # The model sees bytes as characters: printable ones stay, the rest follow from 256 on.
@@ -69,19 +73,33 @@ class WordIds(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
+        value = self.older.get(word)
+        if value is None:
+            value = self._encode(word)
+        self[word] = value
+        return value
+
+    def _encode(self, word: bytes) -> bytes:
         text = word.decode()
         plain = self._PLAIN.fullmatch(text)
         if not plain:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            value = np.array(ids, "<u4").tobytes()
-        elif plain[2] or text != text.lower():
-            value = self[plain[1].lower().encode()] + (self[plain[2].encode()] if plain[2] else b"")
-        else:
-            seen = word.decode("latin-1").translate(self.characters)
-            value = np.array([t.id for t in self.model.tokenize(seen)], "<u4").tobytes()
-        self[word] = value
-        return value
+            return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if plain[2] or text != text.lower():
+            return self[plain[1].lower().encode()] + (self[plain[2].encode()] if plain[2] else b"")
+        seen = word.decode("latin-1").translate(self.characters)
+        return _packed([t.id for t in self.model.tokenize(seen)])
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+@lru_cache(maxsize=1)
+def _words(path: str) -> WordIds:
+    """One table for all tasks of a Python worker."""
+    return WordIds(path)
 
 
 def cut(places: np.ndarray, penalties: np.ndarray, size: int) -> list[int]:
@@ -215,7 +233,7 @@ def pack(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
+        words = _words(path)
         stream = _Stream(size, words.sentence_ends(), sentence_penalty, stretch_penalty)
         first = TaskContext.get().partitionId() << 32
         kind = None

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, decontaminate, language, neardup, packing, quality, substrings, token_counts
+from parcelwise.llm import chat, decontaminate, language, main_text, neardup, packing, quality, substrings, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,6 +91,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    found = main_text.extract(pages, main_text.fit(pages))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_chat_formatting": op2_chat_formatting,
@@ -100,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
+    "op10_main_text": op10_main_text,
 }
 
 _CHAT_SQL = r"""

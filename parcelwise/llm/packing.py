@@ -71,6 +71,14 @@ class WordIds(dict):
             ends[number] = text != piece and any(c in ".!?" for c in text) and not any(c.isalnum() for c in text)
         return ends
 
+    def word_ends(self) -> np.ndarray:
+        """For every id, whether a word ends with it."""
+        vocabulary = self.tokenizer.get_vocab()
+        ends = np.ones(max(vocabulary.values()) + 1, bool)
+        for piece, number in vocabulary.items():
+            ends[number] = piece.endswith("</w>") or piece.startswith("<|")
+        return ends
+
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.limit:
             self.older = dict(self)
@@ -97,7 +105,7 @@ def _packed(ids: list[int]) -> bytes:
 
 
 @lru_cache(maxsize=1)
-def _words(path: str) -> WordIds:
+def id_table(path: str) -> WordIds:
     """One table for all tasks of a Python worker."""
     return WordIds(path)
 
@@ -233,7 +241,7 @@ def pack(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _words(path)
+        words = id_table(path)
         stream = _Stream(size, words.sentence_ends(), sentence_penalty, stretch_penalty)
         first = TaskContext.get().partitionId() << 32
         kind = None

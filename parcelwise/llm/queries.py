@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, decontaminate, language, main_text, neardup, packing, quality, substrings, token_counts
+from parcelwise.llm import chat, decontaminate, language, main_text, neardup, packing, quality, scoring, substrings, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_digests(_table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = scoring.score_texts(docs, remainder(docs["doc_id"], 7) != 2)
+    return scored.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated_spans(_table(spark, sf_dir, "documents"))
 
@@ -101,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_packing": op3_packing,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,

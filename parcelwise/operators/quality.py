@@ -105,7 +105,8 @@ def validate_rows(
 
     Reasons come in rule order: required fields, date, duplicate, range checks. Rules
     on columns the frame lacks are skipped. Duplicates are looked for inside ``within``
-    (say, the source file), over all rows, good or bad.
+    (say, the source file), over all rows, good or bad; columns with a range check are compared
+    as numbers there (``50.10`` is ``50.1``), and as text where they are none.
     """
     present = set(df.columns)
     columns = df.columns
@@ -113,7 +114,11 @@ def validate_rows(
     if rules.date_column in present:
         steps.append(F.when(is_blank(rules.date_column), F.lit("brak_daty")))
     if rules.unique_key and set(rules.unique_key) <= present:
-        df = flag_duplicates(df, [*within, *rules.unique_key], order, "_duplicate")
+        numbers = {check.column for check in rules.checks} & set(rules.unique_key)
+        as_number = {f"_n_{c}": to_double(c) for c in numbers}
+        as_text = {f"_t_{c}": F.when(to_double(c).isNull(), F.col(c)) for c in numbers}
+        keys = [k for c in rules.unique_key for k in ([f"_n_{c}", f"_t_{c}"] if c in numbers else [c])]
+        df = flag_duplicates(df.withColumns(as_number | as_text) if numbers else df, [*within, *keys], order, "_duplicate")
         steps.append(F.when(F.col("_duplicate"), F.lit("duplikat")))
     steps += [F.when(~check.holds(), F.lit(check.reason)) for check in rules.checks if check.column in present]
     text = F.concat_ws(";", *steps) if steps else F.lit("")
@@ -139,8 +144,28 @@ class QualityError(Exception):
     """A source file fails as a whole."""
 
 
-def missing_columns(df: DataFrame, rules: RuleSet) -> list[str]:
-    return [c for c in rules.required if c not in df.columns]
+def missing_columns(columns: Sequence[str], rules: RuleSet) -> list[str]:
+    return [c for c in rules.required if c not in columns]
+
+
+def gate_report(report: DataFrame, files: DataFrame, by: str = "source_file") -> DataFrame:
+    """Per file of ``files`` (columns ``by`` and ``absent``, a text): ``rows_ok``, ``rows_rejected``, ``verdict``.
+
+    ``report`` is that of ``quality_report``; a file without rows there is empty.
+    """
+    rows = files.join(report, by, "left")
+    verdict = (
+        F.when(F.col("absent") != "", F.concat(F.lit("columns missing: "), F.col("absent")))
+        .when(F.col("rows_ok").isNull(), F.lit("empty file"))
+        .when(F.col("rows_ok") == 0, F.lit("every row rejected"))
+        .otherwise(F.lit("ok"))
+    )
+    return rows.select(
+        by,
+        F.coalesce("rows_ok", F.lit(0)).alias("rows_ok"),
+        F.coalesce("rows_rejected", F.lit(0)).alias("rows_rejected"),
+        verdict.alias("verdict"),
+    )
 
 
 def enforce_gate(
@@ -159,6 +184,15 @@ def enforce_gate(
     return sum(r["rows_ok"] for r in rows.values()), sum(r["rows_rejected"] for r in rows.values())
 
 
+def enforce_verdicts(gate: DataFrame, by: str = "source_file") -> tuple[int, int]:
+    """The same for the frame of ``gate_report``: every file whose verdict isn't ok is named."""
+    rows = gate.orderBy(by).collect()
+    problems = [f"{r[by]}: {r['verdict']}" for r in rows if r["verdict"] != "ok"]
+    if problems:
+        raise QualityError("; ".join(problems))
+    return sum(r["rows_ok"] for r in rows), sum(r["rows_rejected"] for r in rows)
+
+
 def quality_recheck(
     df: DataFrame, area: str = "squaremeters", price: str = "price", low: float = 10, high: float = 300
 ) -> DataFrame:

@@ -14,6 +14,7 @@ import argparse
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelwise.operators.demography import merge_demography
 from parcelwise.operators.imputation import idw_impute, impute_amenities, impute_building
@@ -23,7 +24,8 @@ from parcelwise.operators.quality import (
     POI_RULES,
     QualityError,
     RuleSet,
-    enforce_gate,
+    enforce_verdicts,
+    gate_report,
     missing_columns,
     month_gaps,
     quality_recheck,
@@ -42,8 +44,11 @@ from parcelwise.operators.star import (
     with_row_id,
 )
 from parcelwise.sources.files import (
+    DEMOGRAPHY_GLOB,
     LISTING_FILES,
     POI_FILES,
+    list_delimited,
+    read_delimited,
     read_demography,
     read_listings,
     read_poi,
@@ -64,34 +69,48 @@ def parquet_in(folder: str, partition_by: Mapping[str, tuple[str, ...]] | None =
 def check(spark: SparkSession, raw: str, rejects: str) -> dict[str, tuple[int, int]]:
     """Validate the raw files, write what is rejected, and return (accepted, rejected) rows.
 
-    Fails after all files of a source were looked at if one of them lacks a required
-    column, is empty or has no acceptable row.
+    Every file is looked at by its own header, and the rejects are written in any case. Then it fails, naming
+    all files of all sources that are absent or empty, lack a required column or have no acceptable row.
     """
-    sources: dict[str, tuple[DataFrame, RuleSet, list[str] | None, str]] = {
-        "listings": (read_listings(spark, raw, position_column=POSITION), LISTING_RULES, list(LISTING_FILES.values()), ","),
-        "demography": (read_demography(spark, raw, position_column=POSITION), DEMOGRAPHY_RULES, None, ","),
-        "poi": (read_poi(spark, raw, position_column=POSITION), POI_RULES, list(POI_FILES.values()), ";"),
+    sources: dict[str, tuple[list[str], list[str], RuleSet, str]] = {
+        "listings": (list(LISTING_FILES.values()), list(LISTING_FILES.values()), LISTING_RULES, ","),
+        "demography": ([DEMOGRAPHY_GLOB], [], DEMOGRAPHY_RULES, ","),
+        "poi": (list(POI_FILES.values()), list(POI_FILES.values()), POI_RULES, ";"),
     }
-    result = {}
-    for name, (rows, rules, files, sep) in sources.items():
-        absent = missing_columns(rows, rules)
-        if absent:
-            raise QualityError(f"{name}: columns {absent} are missing")
-        # Written once, so that counts, rejects and duplicates all see the same positions.
-        placed = written(rows, f"{scratch_folder(spark)}/{name}")
-        validated = validate_rows(placed, rules, [POSITION], [FILE])
-        report = quality_report(validated, FILE)
-        if files is None:
-            files = [r[FILE] for r in placed.select(FILE).distinct().collect()]
-        result[name] = enforce_gate(report, files, FILE)
-        write_rejects(validated.drop(POSITION), f"{rejects}/{name}", sep, FILE)
+    result, problems = {}, []
+    for name, (globs, expected, rules, sep) in sources.items():
+        found = list_delimited(spark, [f"{raw}/{g}" for g in globs], sep)
+        present = {f.name for f in found}
+        problems += [f"{file}: no such file" for file in expected if file not in present]
+        if not expected and not found:
+            problems.append(f"{globs[0]}: no such file")
+        absent = {f.name: missing_columns(f.columns, rules) if f.columns else [] for f in found}
+        usable = [f for f in found if f.columns and not absent[f.name]]
+        listed = spark.createDataFrame([(n, ", ".join(c)) for n, c in absent.items()], f"{FILE} string, absent string")
+        if usable:
+            rows = read_delimited(spark, [], sep, file_column=FILE, position_column=POSITION, files=usable)
+            # Written once, so that counts, rejects and duplicates all see the same positions.
+            placed = written(rows, f"{scratch_folder(spark)}/{name}")
+            validated = validate_rows(placed, rules, [POSITION], [FILE])
+            write_rejects(validated.drop(POSITION), f"{rejects}/{name}", sep, FILE)
+            report = quality_report(validated, FILE)
+        else:
+            report = spark.createDataFrame([], f"{FILE} string, rows_ok long, rows_rejected long")
+        try:
+            result[name] = enforce_verdicts(gate_report(report, listed, FILE), FILE)
+        except QualityError as error:
+            problems.append(str(error))
+    if problems:
+        raise QualityError("; ".join(problems))
     return result
 
 
 def stage(spark: SparkSession, raw: str, save: Save) -> None:
     """Raw files to typed tables ``listings``, ``demography`` and ``poi``."""
     save(stage_listings(read_listings(spark, raw)), "listings")
-    save(stage_demography(read_demography(spark, raw), [FILE]), "demography")
+    # Of files that overlap the one of the later years wins: the names end in the years they cover.
+    people = read_demography(spark, raw).withColumn("_age", -F.regexp_extract(FILE, r"(\d+)\D*$", 1).try_cast("int"))
+    save(stage_demography(people, ["_age", FILE]), "demography")
     save(stage_poi(read_poi(spark, raw)), "poi")
 
 

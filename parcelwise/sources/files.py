@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import csv
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +19,55 @@ DEMOGRAPHY_GLOB = "baza_bi_miasta_*.csv"
 POI_FILES = {"cafe": "all_cafes.csv", "parking": "all_parkings.csv", "bus_stop": "all_bus_stops.csv"}
 
 
+@dataclass(frozen=True)
+class TextFile:
+    """A delimited file and the column names of its first line; none if it is empty."""
+
+    path: str
+    columns: tuple[str, ...]
+
+    @property
+    def name(self) -> str:
+        return self.path.rsplit("/", 1)[-1]
+
+
+def _visible(file_system, status) -> Iterator:
+    """Files below a path, without hidden ones, as Spark would read them."""
+    if status.getPath().getName().startswith(("_", ".")):
+        return
+    if status.isDirectory():
+        for inner in file_system.listStatus(status.getPath()):
+            yield from _visible(file_system, inner)
+    else:
+        yield status
+
+
+def list_delimited(spark: SparkSession, paths: str | Sequence[str], sep: str = ",") -> list[TextFile]:
+    """The files that paths or globs name, by path, each with its own header.
+
+    The driver lists them and reads one line of each, through Hadoop's file systems, so any
+    store that Spark reads will do. A path without a match gives no file.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    found = {}
+    for path in [paths] if isinstance(paths, str) else paths:
+        pattern = jvm.org.apache.hadoop.fs.Path(path)
+        file_system = pattern.getFileSystem(conf)
+        for status in file_system.globStatus(pattern) or ():
+            for file in _visible(file_system, status):
+                stream = file_system.open(file.getPath())
+                codec = codecs.getCodec(file.getPath())
+                lines = jvm.java.io.BufferedReader(
+                    jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8")
+                )
+                first = lines.readLine()
+                lines.close()
+                names = next(csv.reader([(first or "").removeprefix("\ufeff")], delimiter=sep), [])
+                found[file.getPath().toString()] = tuple(names)
+    return [TextFile(path, names) for path, names in sorted(found.items())]
+
+
 def read_delimited(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -24,26 +75,44 @@ def read_delimited(
     columns: Sequence[str] | None = None,
     file_column: str | None = None,
     position_column: str | None = None,
+    files: Sequence[TextFile] | None = None,
 ) -> DataFrame:
     """Text files with a header, every column a string; a glob reads all its matches.
 
-    With ``columns`` nothing is looked up in the files when the plan is made, and a file
-    whose header differs fails instead of being read in the wrong order.
-    ``file_column`` adds the name of the file each row came from, ``position_column`` a
-    value that orders the rows of a file as they stand in it (the block that was read,
-    then the row's turn in it).
+    Each file is read by its own header: files are grouped by header, so there are as many scans as
+    different headers, and put together by column name; a column that a file lacks is NULL there. Quotes in
+    quoted text are doubled, as spreadsheets and pandas write them. With ``columns`` nothing is looked up
+    when the plan is made, and a file whose header differs fails instead.
+    ``files`` are those listed already by ``list_delimited``. ``file_column`` adds the name of the file
+    each row came from, ``position_column`` a value that orders the rows of a file as they stand in it
+    (the block that was read, then the row's turn in it).
     """
-    reader = spark.read.option("header", True).option("sep", sep)
+
+    def scan(names: Sequence[str], where: str | list[str]) -> DataFrame:
+        twice = sorted({c for c in names if list(names).count(c) > 1})
+        if twice:
+            raise ValueError(f"columns {twice} stand twice in the header of {where}")
+        schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in names)
+        reader = spark.read.option("header", True).option("sep", sep).option("escape", '"')
+        df = reader.schema(schema).option("enforceSchema", False).csv(where)
+        if file_column is not None:
+            df = df.withColumn(file_column, F.col("_metadata.file_name"))
+        if position_column is not None:
+            turn = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row"))
+            df = df.withColumn(position_column, turn)
+        return df
+
     if columns is not None:
-        schema = ", ".join(f"`{c}` string" for c in columns)
-        reader = reader.schema(schema).option("enforceSchema", False)
-    df = reader.csv(paths if isinstance(paths, str) else list(paths))
-    if file_column is not None:
-        df = df.withColumn(file_column, F.col("_metadata.file_name"))
-    if position_column is not None:
-        turn = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row"))
-        df = df.withColumn(position_column, turn)
-    return df
+        return scan(columns, paths if isinstance(paths, str) else list(paths))
+    files = list_delimited(spark, paths, sep) if files is None else files
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        if file.columns:
+            by_header.setdefault(file.columns, []).append(file.path)
+    if not by_header:
+        raise FileNotFoundError(f"no file with a header at {paths}")
+    scans = [scan(names, where) for names, where in by_header.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 def union_tagged(frames: Mapping[str, DataFrame], tag: str) -> DataFrame:
@@ -71,11 +140,8 @@ def tag_from_filename(
 def read_monthly_listings(
     spark: SparkSession, globs: str | Sequence[str], columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """All monthly listing files in one scan per glob, tagged from their names."""
-    globs = [globs] if isinstance(globs, str) else list(globs)
-    scans = [read_delimited(spark, g, columns=columns, file_column="source_file") for g in globs]
-    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
-    return tag_from_filename(merged, "source_file")
+    """All monthly listing files, each by its own header, tagged from their names."""
+    return tag_from_filename(read_delimited(spark, globs, columns=columns, file_column="source_file"), "source_file")
 
 
 def read_listings(spark: SparkSession, folder: str, **options) -> DataFrame:
@@ -123,5 +189,6 @@ def write_rejects(rejected: DataFrame, path: str, sep: str = ",", file_column: s
         .partitionBy(file_column)
         .option("header", True)
         .option("sep", sep)
+        .option("escape", '"')
         .csv(path)
     )

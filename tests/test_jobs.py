@@ -137,3 +137,64 @@ def test_jdbc_options():
 def test_dates_become_text_for_jdbc(spark):
     df = spark.sql("SELECT DATE'2024-04-01' AS d, 1 AS n")
     assert jdbc.dates_as_text(df).dtypes == [("d", "string"), ("n", "int")]
+
+
+def test_files_are_read_by_their_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('name,wage,jobless\n"Bar ""U; Jana"", 1",1.00,6000\n')
+    (tmp_path / "b.csv").write_text("\ufeffjobless,name,extra,wage\n7000,x,e,2.00\n", encoding="utf-8")
+    (tmp_path / "c.csv").write_text("name\ny\n")
+    (tmp_path / "d.csv").write_text("")
+    df = files.read_delimited(spark, f"{tmp_path}/*.csv", file_column="f")
+    assert sorted((r["f"], r["name"], r["wage"], r["jobless"], r["extra"]) for r in df.collect()) == [
+        ("a.csv", 'Bar "U; Jana", 1', "1.00", "6000", None), ("b.csv", "x", "2.00", "7000", "e"), ("c.csv", "y", None, None, None),
+    ]
+    assert [(f.name, len(f.columns)) for f in files.list_delimited(spark, f"{tmp_path}/*.csv")] == [("a.csv", 3), ("b.csv", 4), ("c.csv", 1), ("d.csv", 0)]
+    with pytest.raises(FileNotFoundError):
+        files.read_delimited(spark, f"{tmp_path}/none*.csv")
+
+
+def test_rejects_keep_quotes(spark, tmp_path):
+    df = spark.createDataFrame([('say ""hi"" \\ "x";', "bad", "f.csv")], f"t string, {REASON} string, source_file string")
+    files.write_rejects(df, str(tmp_path / "out"), ";")
+    back = files.read_delimited(spark, str(tmp_path / "out/source_file=f.csv"), ";")
+    assert back.first()["t"] == 'say ""hi"" \\ "x";'
+
+
+def test_check_names_every_bad_file_and_keeps_rejects(spark, raw, tmp_path):
+    rent = (tmp_path / "raw/all_apartments_rent.csv").read_text().splitlines()
+    cut = [",".join(line.split(",")[:-1]) for line in rent]
+    (tmp_path / "raw/all_apartments_rent.csv").write_text("\n".join(cut) + "\n")
+    (tmp_path / "raw/baza_bi_miasta_2023_2025.csv").write_text("")
+    (tmp_path / "raw/all_bus_stops.csv").write_text("City;Name;Street;Number;LAT;LON\n")
+    with open(f"{raw}/all_cafes.csv", "w") as f:
+        f.write("City;Name;Street;Number;LAT;LON\n;x;;;1;1\n")
+    (tmp_path / "raw/all_parkings.csv").unlink()
+    with pytest.raises(QualityError) as error:
+        jobs.check(spark, raw, str(tmp_path / "rejected"))
+    assert sorted(str(error.value).split("; ")) == [
+        "all_apartments_rent.csv: columns missing: source_date", "all_bus_stops.csv: empty file",
+        "all_cafes.csv: every row rejected", "all_parkings.csv: no such file", "baza_bi_miasta_2023_2025.csv: empty file",
+    ]
+    poi = spark.read.option("header", True).option("sep", ";").csv(str(tmp_path / "rejected/poi"))
+    assert {(r["source_file"], r[REASON]) for r in poi.collect()} == {("all_cafes.csv", "brak_City")}
+    assert (tmp_path / "rejected/listings").exists()
+
+
+@pytest.mark.parametrize(("stage", "columns", "missing"), [
+    ("stage_listings", "id string, city string, price string", "squaremeters"),
+    ("stage_poi", "City string, LAT string", "lon"),
+    ("stage_demography", "Miasto_GUS string, Data string", "glowne_miasto"),
+])
+def test_missing_required_columns_are_named(spark, stage, columns, missing):
+    from parcelwise.operators import staging
+
+    with pytest.raises(ValueError, match=missing):
+        getattr(staging, stage)(spark.createDataFrame([], columns))
+
+
+def test_newer_demography_file_wins(spark, raw, tmp_path):
+    newer = "Glowne_Miasto,Miasto_GUS,Data,Populacja_Ogolna\nŁódź,Powiat m. Łódź,2024-12-31,99\n"
+    (tmp_path / "raw/baza_bi_miasta_2023_2025.csv").write_text(newer)
+    jobs.stage(spark, raw, jobs.parquet_in(str(tmp_path / "staged")))
+    rows = spark.read.parquet(str(tmp_path / "staged/demography")).filter("miasto_gus = 'Powiat m. Łódź'")
+    assert [r["populacja_ogolna"] for r in rows.collect()] == [99]

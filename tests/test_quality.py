@@ -75,3 +75,24 @@ def test_month_gaps(spark):
 def test_recheck(spark):
     df = spark.createDataFrame([(10.0, 1.0), (300.9, 1.0), (20.0, 0.0), (None, 1.0)], "squaremeters double, price double")
     assert [tuple(r) for r in Q.quality_recheck(df).collect()] == [(10.0, 1.0)]
+
+
+def test_duplicate_numbers_are_compared_as_numbers(spark):
+    df = spark.createDataFrame(
+        [(1, "A", "50.10", "2"), (2, "A", "50.1", "2.0"), (3, "A", "x", "2"), (4, "A", "x", "2"), (5, "A", "y", "2"), (6, "A", None, "2")],
+        "i int, City string, LAT string, LON string",
+    )
+    flagged = Q.validate_rows(df, Q.POI_RULES, ["i"]).filter(f"{Q.REASON} LIKE '%duplikat%'")
+    assert sorted(r["i"] for r in flagged.collect()) == [2, 4]
+
+
+def test_gate_report_names_the_verdict_of_each_file(spark):
+    files = spark.createDataFrame([("a", ""), ("b", ""), ("c", ""), ("d", "x, y")], "source_file string, absent string")
+    df = spark.createDataFrame([("a", ""), ("a", "r"), ("b", "r")], f"source_file string, {Q.REASON} string")
+    gate = Q.gate_report(Q.quality_report(df), files)
+    assert sorted(tuple(r) for r in gate.collect()) == [
+        ("a", 1, 1, "ok"), ("b", 0, 1, "every row rejected"), ("c", 0, 0, "empty file"), ("d", 0, 0, "columns missing: x, y"),
+    ]
+    with pytest.raises(Q.QualityError, match="b: every row rejected; c: empty file; d: columns missing: x, y"):
+        Q.enforce_verdicts(gate)
+    assert Q.enforce_verdicts(gate.filter("source_file = 'a'")) == (1, 1)

@@ -52,6 +52,8 @@ def surrogate_key(df: DataFrame, name: str, keys: Sequence[str], digits: int = 4
     ``16 ** digits`` rows, so it may be broadcast. The keys depend on the data alone, not
     on partitions or runs; rows with equal key columns follow the other columns.
     """
+    if not 1 <= digits <= 5:
+        raise ValueError("digits must be 1 to 5: the table of buckets is broadcast")
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys]
     digest = F.md5(F.concat_ws("\u001f", *parts).cast("binary"))
     hashed = df.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, digits))
@@ -149,11 +151,10 @@ def wage_by_city_year(demography: DataFrame) -> DataFrame:
 def fact_offers(numbered: DataFrame, time: DataFrame, demography: DataFrame) -> DataFrame:
     """One fact per listing row, with keys into the five dimensions and the measures.
 
-    ``numbered`` are cleaned listings with their ``row_id``. Months are few by nature (a
-    date holds at most 12 per year), so the time keys are broadcast; how the wages per
+    ``numbered`` are cleaned listings with their ``row_id``. How the months, the wages per
     city and year and the group means are joined is left to Spark's run-time sizes.
     """
-    months = F.broadcast(time.select(F.col("source_date").alias("_month"), "ID_Czasu"))
+    months = time.select(F.col("source_date").alias("_month"), "ID_Czasu")
     wages = wage_by_city_year(demography)
     month = F.col("source_date").cast("string")
     rows = with_price_per_sqm(numbered).select(

@@ -22,23 +22,26 @@ from parcelwise.llm.neardup import Work
 CLEAR_LANGUAGE = 0.3
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose id is among ``ids``; rows without an id stay too, as no operator could name them."""
-    listed = ids.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
-    found = docs.join(listed, docs["doc_id"] == listed["_id"], "left_semi")
-    return found.unionByName(docs.where("doc_id IS NULL"))
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id isn't among ``ids``, and those without an id, as no operator could name them.
+
+    The ids are written first: Spark knows their size then, and sends a short list to the tasks instead of shuffling
+    all texts.
+    """
+    listed = Work(docs.sparkSession).keep(ids.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct())
+    return docs.join(listed, docs["doc_id"] == listed["_id"], "left_anti")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that clearly speak a language learned from all labelled ones. A NULL id is kept."""
     model = language.fit(docs, F.lit(True))
-    clear = language.predict(docs, model).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= CLEAR_LANGUAGE))
-    return _only(docs, clear)
+    unclear = (F.col("lang_pred") == language.UNKNOWN) | (F.col("score") < CLEAR_LANGUAGE)
+    return _without(docs, language.predict(docs, model).where(unclear))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the least id of each group."""
-    return _only(docs, neardup.near_duplicates(docs, words=5, similarity=0.8).where("kept"))
+    return _without(docs, neardup.near_duplicates(docs, words=5, similarity=0.8).where("NOT kept"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +53,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = decontaminate.find_items(docs, items).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(leaks, docs["doc_id"] == leaks["_id"], "left_anti")
+    return _without(docs, decontaminate.find_items(docs, items))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -156,3 +156,11 @@ def view(spark, sf_dir: str, name: str):
 def with_views(*names: str) -> str:
     """``WITH`` clause that defines bridge views in DuckDB."""
     return "WITH " + ",\n".join(f"{name} AS ({VIEWS[name][0]})" for name in _closure(names))
+
+
+#: Replaces columns of the listings so that one cell is crowded and one point holds many of them.
+CROWDED = {
+    "latitude": "CASE WHEN seq%12=0 THEN round(52.0E0+(seq%1511)/1000000.0E0,6) WHEN seq%60=1 THEN 52.0007E0 ELSE latitude END",
+    "longitude": "CASE WHEN seq%12=0 THEN round(21.0E0+((seq*7)%1709)/1000000.0E0,6) WHEN seq%60=1 THEN 21.0007E0 ELSE longitude END",
+    "city": "CASE WHEN seq%12=0 OR seq%60=1 THEN 'crowded' ELSE city END",
+}

@@ -5,7 +5,7 @@ Neighbour searches are plain self-joins over the 3x3 cells with every pair ranke
 
 from __future__ import annotations
 
-from checks.bridge import with_views
+from checks.bridge import CROWDED, with_views
 
 L = with_views("listings")
 RAW = with_views("raw_listings")
@@ -76,6 +76,10 @@ near AS (SELECT m.row_key, n.row_key AS near_row_key, {DIST} AS dist, n.building
 ranked AS (SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY dist, near_row_key) AS rank FROM near)"""
 
 
+_CROWDED_LISTINGS = "SELECT * REPLACE (" + ", ".join(f"{sql} AS {c}" for c, sql in CROWDED.items()) + ") FROM listings"
+NEAR_CROWDED = NEAR_BUILDINGS.replace("AS lacking FROM listings", f"AS lacking FROM ({_CROWDED_LISTINGS})")
+
+
 def top_value(source: str, key: str, value: str) -> str:
     return (
         f"(SELECT {key}, {value} FROM (SELECT {key}, {value}, row_number() OVER (PARTITION BY {key} ORDER BY count(*) DESC, {value}) AS p"
@@ -238,6 +242,7 @@ ORACLE: dict[str, str] = {
         SELECT row_key, coalesce(c,0) AS neighbors FROM m0 LEFT JOIN pairs USING (row_key)""",
     "nearest_within_radius": f"{NEAR_BUILDINGS} SELECT row_key, near_row_key, {rnd('dist', 6)} AS dist FROM ranked WHERE rank=1 AND dist<=0.00045E0",
     "knn_within_radius": f"{NEAR_BUILDINGS} SELECT row_key, CAST(rank AS INTEGER) AS rank, near_row_key, {rnd('dist', 6)} AS dist FROM ranked WHERE rank<=10",
+    "knn_hot_cell": f"{NEAR_CROWDED} SELECT row_key, CAST(rank AS INTEGER) AS rank, near_row_key, {rnd('dist', 6)} AS dist FROM ranked WHERE rank<=10",
     "city_median": f"{L} SELECT city, quantile_disc(centredistance,0.5) AS median_distance FROM listings WHERE centredistance IS NOT NULL GROUP BY city",
     "city_mode": f"""{L}, known AS (SELECT * FROM listings WHERE buildingmaterial<>'brak informacji'), a AS {top_value('known', 'city', 'buildingmaterial')},
         y AS (SELECT city, CAST(trunc(quantile_cont(buildyear,0.5)) AS INTEGER) AS year FROM listings WHERE buildyear IS NOT NULL GROUP BY city)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.bridge import view
-from parcelwise.sources.scratch import scratch_folder
+from checks.bridge import CROWDED, view
+from parcelwise.sources.scratch import scratch_folder, written
 from parcelwise.functions import scalars as S
 from parcelwise.operators import demography as D
 from parcelwise.operators import imputation as I
@@ -300,6 +300,17 @@ def knn_within_radius(spark, sf):
     return near.select("row_key", "rank", "near_row_key", F.round("dist", 6).alias("dist"))
 
 
+def crowded_listings(spark, sf) -> DataFrame:
+    """Listings of which a part lies in one small cell, and some at one very point, all in one city."""
+    return listings(spark, sf).withColumns({c: F.expr(sql) for c, sql in CROWDED.items()})
+
+
+def knn_hot_cell(spark, sf):
+    missing, known = building_sides(crowded_listings(spark, sf))
+    near = P.knn_within_radius(missing, known, ROW_KEY, order=ROW_KEY)
+    return near.select("row_key", "rank", "near_row_key", F.round("dist", 6).alias("dist"))
+
+
 # --- imputation -----------------------------------------------------------------------------------------
 
 
@@ -380,7 +391,11 @@ def dim_demography(spark, sf):
 
 
 def fact_offers(spark, sf):
-    return R.fact_offers(numbered(spark, sf), R.dim_time(listings(spark, sf)), wages(spark, sf))
+    # As the job runs it: each table is written once, and the branches read what they need of it.
+    folder = scratch_folder(spark)
+    rows = written(numbered(spark, sf), f"{folder}/numbered")
+    people = written(wages(spark, sf), f"{folder}/demography")
+    return R.fact_offers(rows, written(R.dim_time(rows), f"{folder}/time"), people)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -391,7 +406,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stage_demography, stage_poi, validate_rows, validate_poi, flag_duplicates, split_rejects,
         quality_report, dedup_keep_first, quality_recheck, month_gaps, read_delimited, union_tagged,
         tag_from_filename, write_star, write_rejects, match_city, merge_indicators, merge_demography,
-        explode_neighbors, grid_neighbor_join, nearest_within_radius, knn_within_radius, city_median,
+        explode_neighbors, grid_neighbor_join, nearest_within_radius, knn_within_radius, knn_hot_cell, city_median,
         city_mode, idw_impute, impute_building, impute_amenities, rent_to_wage, location_premium,
         surrogate_key, dim_time, dim_unit, dim_building, dim_infrastructure, dim_demography, fact_offers,
     )

@@ -4,6 +4,11 @@
     python -m parcelwise.plans.jobs stage --raw DIR --out DIR
     python -m parcelwise.plans.jobs clean --raw STAGED --out DIR
     python -m parcelwise.plans.jobs load  --raw CLEANED --out DIR
+    python -m parcelwise.plans.jobs collect --raw MONTHLY --out DIR
+
+With ``--jdbc URL`` the tables of stage, clean and load are read from and written to a database instead of
+Parquet, as ``SCHEMA.table``: the folders then name schemas. ``collect`` puts monthly listing files into the
+two files that stage reads.
 
 Every job reads tables it does not write, so it can be run again with the same result.
 """
@@ -51,10 +56,12 @@ from parcelwise.sources.files import (
     read_delimited,
     read_demography,
     read_listings,
+    read_monthly_listings,
     read_poi,
     write_rejects,
     write_table,
 )
+from parcelwise.sources.jdbc import read_jdbc, write_jdbc
 from parcelwise.sources.scratch import scratch_folder, written
 
 Save = Callable[[DataFrame, str], None]
@@ -66,6 +73,19 @@ def parquet_in(folder: str, partition_by: Mapping[str, tuple[str, ...]] | None =
     return lambda df, name: write_table(df, f"{folder}/{name}", (partition_by or {}).get(name, ()))
 
 
+def jdbc_in(url: str, schema: str, properties: Mapping[str, str] | None = None, mode: str = "overwrite") -> Save:
+    """A sink that fills each named table of a database schema."""
+    return lambda df, name: write_jdbc(df, url, f"{schema}.{name}", mode, properties=properties)
+
+
+def collect(spark: SparkSession, raw: str, out: str) -> None:
+    """Monthly listing files to one file per kind of offer, as folders of text that ``stage`` reads."""
+    rows = read_monthly_listings(spark, f"{raw}/*.csv").drop(FILE)
+    for kind, name in LISTING_FILES.items():
+        own = rows.filter(F.col("listing_type") == kind).drop("listing_type")
+        own.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{out}/{name}")
+
+
 def check(spark: SparkSession, raw: str, rejects: str) -> dict[str, tuple[int, int]]:
     """Validate the raw files, write what is rejected, and return (accepted, rejected) rows.
 
@@ -80,7 +100,7 @@ def check(spark: SparkSession, raw: str, rejects: str) -> dict[str, tuple[int, i
     result, problems = {}, []
     for name, (globs, expected, rules, sep) in sources.items():
         found = list_delimited(spark, [f"{raw}/{g}" for g in globs], sep)
-        present = {f.name for f in found}
+        present = {part for f in found for part in f.path.split("/")}  # a folder of text counts by its name
         problems += [f"{file}: no such file" for file in expected if file not in present]
         if not expected and not found:
             problems.append(f"{globs[0]}: no such file")
@@ -151,28 +171,39 @@ def load(spark: SparkSession, demography: DataFrame, listings: DataFrame, save:
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("job", choices=("check", "stage", "clean", "load"))
-    parser.add_argument("--raw", required=True, help="input folder")
-    parser.add_argument("--out", required=True, help="output folder")
+    parser.add_argument("job", choices=("collect", "check", "stage", "clean", "load"))
+    parser.add_argument("--raw", required=True, help="input folder or database schema")
+    parser.add_argument("--out", required=True, help="output folder or database schema")
+    parser.add_argument("--jdbc", help="URL of a database for tables")
+    parser.add_argument("--property", action="append", default=[], metavar="NAME=VALUE", help="connection property")
     args = parser.parse_args(argv)
     # Wide projections make methods that the JVM does not compile; leave those unfused.
     builder = SparkSession.builder.config("spark.sql.codegen.hugeMethodLimit", "8000")
     spark = builder.appName(f"parcelwise-{args.job}").getOrCreate()
 
+    properties = dict(p.split("=", 1) for p in args.property)
+
     def table(name: str) -> DataFrame:
+        if args.jdbc:
+            return read_jdbc(spark, args.jdbc, f"{args.raw}.{name}", properties=properties)
         return spark.read.parquet(f"{args.raw}/{name}")
 
-    if args.job == "check":
+    def sink(partition_by: Mapping[str, tuple[str, ...]] | None = None) -> Save:
+        return jdbc_in(args.jdbc, args.out, properties) if args.jdbc else parquet_in(args.out, partition_by)
+
+    if args.job == "collect":
+        collect(spark, args.raw, args.out)
+    elif args.job == "check":
         for name, (accepted, rejected) in check(spark, args.raw, args.out).items():
             print(f"{name}: {accepted} rows accepted, {rejected} rejected")
     elif args.job == "stage":
-        stage(spark, args.raw, parquet_in(args.out))
+        stage(spark, args.raw, sink())
     elif args.job == "clean":
-        gaps = clean(spark, table("demography"), table("listings"), parquet_in(args.out))
+        gaps = clean(spark, table("demography"), table("listings"), sink())
         gaps.show(truncate=False)
     else:
         by_kind = {"Dim_Lokal": ("listing_type",)}
-        load(spark, table("demography"), table("listings"), parquet_in(args.out, by_kind))
+        load(spark, table("demography"), table("listings"), sink(by_kind))
 
 
 if __name__ == "__main__":

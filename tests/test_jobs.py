@@ -198,3 +198,20 @@ def test_newer_demography_file_wins(spark, raw, tmp_path):
     jobs.stage(spark, raw, jobs.parquet_in(str(tmp_path / "staged")))
     rows = spark.read.parquet(str(tmp_path / "staged/demography")).filter("miasto_gus = 'Powiat m. Łódź'")
     assert [r["populacja_ogolna"] for r in rows.collect()] == [99]
+
+
+def test_monthly_files_become_listing_files(spark, tmp_path):
+    for name, price in (("apartments_pl_2024_04.csv", 5), ("apartments_rent_pl_2024_05.csv", 6), ("apartments_rent_pl_2024_06.csv", 7)):
+        (tmp_path / name).write_text(f'id,city,price\n1,"a ""b"", c",{price}\n')
+    jobs.collect(spark, str(tmp_path), str(tmp_path / "raw"))
+    rows = files.read_listings(spark, str(tmp_path / "raw")).collect()
+    assert sorted((r["listing_type"], r["source_date"], r["city"], r["price"]) for r in rows) == [
+        ("rent", "2024-05", 'a "b", c', "6"), ("rent", "2024-06", 'a "b", c', "7"), ("sell", "2024-04", 'a "b", c', "5"),
+    ]
+
+
+def test_database_sink_is_wired(monkeypatch):
+    seen = []
+    monkeypatch.setattr(jobs, "write_jdbc", lambda df, url, table, mode, properties: seen.append((df, url, table, mode, properties)))
+    jobs.jdbc_in("jdbc:u", "stg", {"user": "me"})("frame", "listings")
+    assert seen == [("frame", "jdbc:u", "stg.listings", "overwrite", {"user": "me"})]

@@ -9,12 +9,13 @@
 3. *Prefix*: a class with m shared pairs needs ``least`` matches among them, so only its m - least + 1
    rarest can be the first to collide; classes with m < least have no partner at all. Values that very
    many documents have are the last of each list and mostly skipped.
-4. *Merge*: first every posting's smallest class is compared with its members (linear in the postings).
-   What it joins is one component, and from then on a posting is looked at only if it has several. There
-   the members outside its largest component are compared with all others in blocks, counting collisions
-   of the rest of the signatures (the skip); pairs above the threshold inside one component are of no interest.
-5. *Confirm*: pairs are confirmed on the full sets, best first for each class and other component, until no
-   candidate between two components is left. Nothing is capped.
+4. *Merge* collisions into families, the components of all pairs above the threshold: first every posting's
+   smallest class is compared with its members (linear in the postings); then, only in postings that still hold several
+   families, the members outside the largest are compared with all others in blocks, which give no
+   pairs but the few that span what they connect.
+5. *Confirm*: families are compared on the full sets, again in blocks, best pairs first, skipping pairs that are
+   connected already. A large family is first compared with its least class, so that only what that doesn't
+   connect is compared with all. Links come out as a spanning forest. Nothing is capped.
 
 Intermediate tables are Parquet in the cluster's shared folder.
 """
@@ -33,7 +34,7 @@ from parcelwise.llm.words import WordHashes, mixed, windows
 from parcelwise.sources.scratch import scratch_folder, written
 
 COORDINATES = 64
-BLOCK = 512
+BLOCK = 256
 MISS = 1e-7
 
 
@@ -115,26 +116,13 @@ def _full_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("class", "text").mapInArrow(run, f"class {kind}, full binary")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose full sets are as similar as asked for."""
-    per_cent = round(100 * similarity)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(a) > len(b):
-                    a, b = b, a
-                at = np.searchsorted(b, a)
-                common = int((b[np.minimum(at, len(b) - 1)] == a).sum())
-                linked.append(100 * common >= per_cent * (len(a) + len(b) - common))
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
-
-    kind = pairs.schema["a"].dataType.simpleString()
-    first = pairs.join(sets.select(F.col("class").alias("a"), F.col("full").alias("x")), "a")
-    both = first.join(sets.select(F.col("class").alias("b"), F.col("full").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, f"a {kind}, b {kind}, linked boolean")
+def _similar(x: np.ndarray, y: np.ndarray, per_cent: int) -> bool:
+    """Whether two sorted sets are as similar as asked for."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    common = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+    return 100 * common >= per_cent * (len(x) + len(y) - common)
 
 
 class Work:
@@ -181,81 +169,115 @@ def components(nodes: DataFrame, edges: DataFrame, work: Work) -> DataFrame:
         )
 
 
-def _blocks(postings: DataFrame, label: DataFrame, sizes: tuple[int, float], block: int) -> DataFrame:
-    """Candidate pairs (a, b, matches) between different components, from each posting with several."""
-    least, similarity = sizes
-    own = postings.join(label, "class")
-    each = own.groupBy("key", "component").agg(F.count("*").alias("n"))
-    per_key = each.groupBy("key").agg(
+def _pair_blocks(rows: DataFrame, group: str, block: int) -> DataFrame:
+    """Rows of groups with several components, dealt out so that each pair of components meets.
+
+    Adds ``i``, ``j`` (the pair of blocks to compare) and ``block`` (the row's own). Members of a group's largest component
+    are not compared with each other: they meet only the blocks of the others.
+    """
+    each = rows.groupBy(group, "component").agg(F.count("*").alias("n"))
+    sizes = each.groupBy(group).agg(
         F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("main")
-    ).where("parts > 1")
-    per_key = per_key.select(
-        "key",
+    )
+    sizes = sizes.where("parts > 1").select(
+        F.col(group).alias("_group"),
         F.col("main.component").alias("main"),
         F.ceil(F.col("main.n") / block).cast("int").alias("main_blocks"),
         F.ceil((F.col("n") - F.col("main.n")) / block).cast("int").alias("other_blocks"),
+        (F.col("n") <= block).alias("small"),
     )
-    rows = own.join(per_key, "key").withColumn("inside", F.col("component") == F.col("main"))
-    spread = F.xxhash64("class")
-    rows = rows.withColumn(
-        "block", F.when(F.col("inside"), F.pmod(spread, "main_blocks")).otherwise(F.col("main_blocks") + F.pmod(spread, "other_blocks")).cast("int")
-    )
-    others = F.sequence(F.col("main_blocks"), F.col("main_blocks") + F.col("other_blocks") - 1)
-    everything = F.sequence(F.lit(0), F.col("main_blocks") + F.col("other_blocks") - 1)
-    rows = rows.withColumn("with", F.explode(F.when(F.col("inside"), others).otherwise(everything)))
-    kind = postings.schema["class"].dataType.simpleString()
-    rows = rows.select(
-        "key",
-        F.least("block", "with").alias("i"),
-        F.greatest("block", "with").alias("j"),
-        "block", "class", "component", "n_shingles", "prints",
-    )
+    rows = rows.join(sizes, rows[group] == sizes["_group"])
+    spread, inside = F.xxhash64("class"), F.col("component") == F.col("main")
+    own = F.when(inside, F.pmod(spread, "main_blocks")).otherwise(F.col("main_blocks") + F.pmod(spread, "other_blocks"))
+    last = F.col("main_blocks") + F.col("other_blocks") - 1
+    meets = F.when(inside, F.sequence(F.col("main_blocks"), last)).otherwise(F.sequence(F.lit(0), last))
+    one = F.array(F.lit(0))
+    rows = rows.withColumn("block", F.when(F.col("small"), 0).otherwise(own).cast("int"))
+    rows = rows.withColumn("with", F.explode(F.when(F.col("small"), one).otherwise(meets)))
+    return rows.withColumn("i", F.least("block", "with")).withColumn("j", F.greatest("block", "with"))
+
+
+class _Compare:
+    """Spanning edges between the components that meet in a pair of blocks.
+
+    Input is sorted by group, ``i``, ``j``; a group's rows may go on in the next batch. With ``full`` sets every edge is
+    confirmed on them, without them agreeing signatures are enough.
+    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, least: int, similarity: float, full: bool):
+        self.least, self.similarity, self.full = least, similarity, full
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
-            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            table = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
             groups = np.stack([table.column(k).to_numpy() for k in range(3)])
-            starts = np.concatenate([[0], np.flatnonzero((groups[:, 1:] != groups[:, :-1]).any(axis=0)) + 1])
-            yield from compare(table.slice(0, starts[-1]), starts[:-1])
+            starts = np.append(0, np.flatnonzero((groups[:, 1:] != groups[:, :-1]).any(axis=0)) + 1)
+            yield from self._groups(table.slice(0, starts[-1]), starts[:-1])
             rest = table.slice(starts[-1])
         if rest is not None:
-            yield from compare(rest, np.zeros(1, np.int64))
+            yield from self._groups(rest, np.zeros(1, np.int64))
 
-    def compare(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def _groups(self, table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         if not table.num_rows:
             return
-        i, j, block_no, names, component, n = (table.column(k).to_numpy() for k in (1, 2, 3, 4, 5, 6))
+        i, j, block, names, component, n = (table.column(k).to_numpy() for k in (1, 2, 3, 4, 5, 6))
         prints = np.frombuffer(b"".join(table.column(7).to_pylist()), np.uint8).reshape(table.num_rows, -1)
-        ends = np.append(starts[1:], table.num_rows)
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for s, e in zip(starts.tolist(), ends.tolist()):
-            if i[s] == j[s]:
-                left = right = np.arange(s, e)
-            else:
-                left = s + np.flatnonzero(block_no[s:e] == i[s])
-                right = s + np.flatnonzero(block_no[s:e] == j[s])
+        full = table.column(8) if self.full else None
+        edges: list[tuple] = []
+        for s, e in zip(starts.tolist(), np.append(starts[1:], table.num_rows).tolist()):
+            everyone = np.arange(s, e)
+            left, right = everyone[block[s:e] == i[s]], everyone[block[s:e] == j[s]]
+            found = []
             for at in range(0, len(left), 32):
-                rows_ = left[at : at + 32]
-                x, y = np.nonzero(component[rows_][:, None] != component[right][None, :])
-                x, y = rows_[x], right[y]
-                keep = names[x] < names[y] if i[s] == j[s] else slice(None)
-                x, y = x[keep], y[keep]
-                near = np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-9
-                x, y = x[near], y[near]
+                x, y = np.nonzero(component[left[at : at + 32]][:, None] != component[right][None, :])
+                x, y = left[at : at + 32][x], right[y]
+                fits = np.minimum(n[x], n[y]) >= self.similarity * np.maximum(n[x], n[y]) - 1e-9
+                if i[s] == j[s]:
+                    fits &= names[x] < names[y]
+                x, y = x[fits], y[fits]
                 matches = (prints[x] == prints[y]).sum(axis=1)
-                good = matches >= least
-                if good.any():
-                    found.append((x[good], y[good], matches[good]))
-        if found:
-            x, y, m = (np.concatenate(part) for part in zip(*found))
-            yield pa.record_batch(
-                [pa.array(np.minimum(names[x], names[y])), pa.array(np.maximum(names[x], names[y])), pa.array(m.astype(np.int32))],
-                names=["a", "b", "matches"],
-            )
-
-    pairs = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, f"a {kind}, b {kind}, matches int")
-    return pairs.groupBy("a", "b").agg(F.max("matches").alias("matches"))
+                good = matches >= self.least
+                found.append((x[good], y[good], matches[good]))
+            if any(len(x) for x, _, _ in found):
+                x, y, matches = (np.concatenate(part) for part in zip(*found))
+                edges += self._forest(x, y, np.argsort(-matches, kind="stable"), component, full)
+        if edges:
+            yield pa.record_batch([pa.array(c) for c in zip(*edges)], names=["a", "b"])
+
+    def _forest(self, x, y, order, component, full) -> list[tuple]:
+        parent: dict = {}
+
+        def root(c):
+            while (up := parent.get(c, c)) != c:
+                parent[c] = c = parent.get(up, up)
+            return c
+
+        per_cent, edges, sets = round(100 * self.similarity), [], {}
+
+        def own(k: int) -> np.ndarray:
+            if k not in sets:
+                sets[k] = np.frombuffer(full[k].as_py(), np.uint64)
+            return sets[k]
+
+        ends = list(zip(component[x[order]].tolist(), component[y[order]].tolist(), x[order].tolist(), y[order].tolist()))
+        for c, d, p, q in ends:
+            c, d = root(c), root(d)
+            if c != d and (full is None or _similar(own(p), own(q), per_cent)):
+                parent[max(c, d)] = min(c, d)
+                edges.append((min(c, d), max(c, d)))
+        return edges
+
+
+def _spanning(rows: DataFrame, group: str, least: int, similarity: float, block: int) -> DataFrame:
+    """Edges (a, b) between components of each group; ``rows`` may have ``full`` sets."""
+    kind = rows.schema["class"].dataType.simpleString()
+    full = "full" in rows.columns
+    placed = _pair_blocks(rows, group, block).select(
+        group, "i", "j", "block", "class", "component", "n_shingles", "prints", *(["full"] if full else [])
+    )
+    ordered = placed.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
+    return ordered.mapInArrow(_Compare(least, similarity, full).__call__, f"a {kind}, b {kind}")
 
 
 def near_duplicates(
@@ -299,9 +321,10 @@ def near_duplicates(
         F.col("doc_id").alias("class"), "n_shingles", F.unhex(F.array_join(low_bytes, "")).alias("prints")
     )
     members = work.keep(live.join(prints, "class"))
-    label = members.select("class", F.col("class").alias("component"))
-    if not members.isEmpty():
-        label = _linked(docs, members, label, work, least, words, similarity, block, id_col, text_col)
+    if members.isEmpty():
+        label = members.select("class", F.col("class").alias("component"))
+    else:
+        label = _linked(docs, members, work, least, words, similarity, block, id_col, text_col)
     links = groups.join(label, "class", "left").select("h1", "h2", F.coalesce("component", "class").alias("component_id"))
     links = work.keep(links)
     out = sketches.select(
@@ -313,44 +336,56 @@ def near_duplicates(
     )
 
 
-def _linked(docs, members, label, work, least, words, similarity, block, id_col, text_col) -> DataFrame:
-    """Labels of the classes that may have a partner."""
-    source = docs.select(docs[id_col].alias("class"), docs[text_col].alias("text"))
-    sets = work.keep(_full_sets(source.join(members.select("class"), "class", "left_semi"), words).dropDuplicates(["class"]))
-    postings = work.keep(
-        members.select("class", "n_shingles", "prints", F.explode("prefix.key").alias("key"))
-    )
-    # Round 1: every posting's least class against its members, the best one for each member.
-    hubs = work.keep(postings.groupBy("key").agg(F.min("class").alias("hub"), F.count("*").alias("n")).where("n > 1"))
+def _families(members: DataFrame, work: Work, least: int, similarity: float, block: int) -> DataFrame:
+    """``class`` to ``component``: the components of all pairs whose signatures agree often enough."""
+    postings = work.keep(members.select("class", "n_shingles", "prints", F.explode("prefix.key").alias("key")))
+    label = members.select("class", F.col("class").alias("component"))
+    hubs = work.keep(postings.groupBy("key").agg(F.min("class").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n"))
     star = postings.select("class", "key").join(hubs, "key").where("class > hub").select("class", "hub").distinct()
     sides = members.select("class", "n_shingles", "prints")
     star = star.join(sides, "class").join(
         sides.select(F.col("class").alias("hub"), F.col("n_shingles").alias("hub_n"), F.col("prints").alias("hub_prints")), "hub"
     )
     fits = F.least("n_shingles", "hub_n") >= similarity * F.greatest("n_shingles", "hub_n") - 1e-9
-    star = _with_matches(star.where(fits), least)
-    best = star.groupBy("b").agg(F.max(F.struct("matches", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
-    tested = work.keep(_confirmed(best, sets, similarity))
-    label = components(label, tested.where("linked"), work)
-    # Then all that is left between different components, best first.
-    open_pairs = work.keep(_blocks(postings, label, (least, similarity), block).join(tested.select("a", "b"), ["a", "b"], "left_anti"))
-    for tier in range(4):
-        ends = open_pairs.join(label.select(F.col("class").alias("a"), F.col("component").alias("ca")), "a").join(
-            label.select(F.col("class").alias("b"), F.col("component").alias("cb")), "b"
-        )
-        ends = work.keep(ends.where("ca <> cb"))
-        if ends.isEmpty():
-            break
-        if tier < 3:
-            first = ends.groupBy("b", "ca").agg(F.max(F.struct("matches", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
-            second = ends.groupBy("a", "cb").agg(F.max(F.struct("matches", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-            chosen = first.unionByName(second).distinct()
-        else:
-            chosen = ends.select("a", "b")
-        tested = work.keep(_confirmed(chosen, sets, similarity))
-        label = components(label, tested.where("linked"), work)
-        open_pairs = ends.select("a", "b", "matches").join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    return label
+    label = components(label, _with_matches(star.where(fits), least), work)
+    # Only postings of several families go on, as one that a single family has holds nothing new.
+    return components(label, _spanning(postings.join(label, "class"), "key", least, similarity, block), work)
+
+
+def _linked(docs, members, work, least, words, similarity, block, id_col, text_col) -> DataFrame:
+    """``class`` to ``component`` over links confirmed on the full sets, for classes that have any candidate."""
+    family = _families(members, work, least, similarity, block).withColumnRenamed("component", "family")
+    sizes = work.keep(family.groupBy("family").agg(F.count("*").alias("size")).where("size > 1"))
+    family = work.keep(family.join(sizes, "family"))
+    source = docs.select(docs[id_col].alias("class"), docs[text_col].alias("text"))
+    sets = _full_sets(source.join(family.select("class"), "class", "left_semi"), words).dropDuplicates(["class"])
+    rows = work.keep(family.join(members.select("class", "n_shingles", "prints"), "class").join(sets, "class"))
+    label = rows.select("class", F.col("class").alias("component"))
+    large = rows.where(F.col("size") > 4 * block)
+    label = components(label, _hub_links(large, similarity, block), work)
+    return components(label, _spanning(rows.join(label, "class"), "family", least, similarity, block), work)
+
+
+def _hub_links(rows: DataFrame, similarity: float, block: int) -> DataFrame:
+    """Members of large families that are linked with the least of them, which is dealt out as often as needed."""
+    per_cent, kind = round(100 * similarity), rows.schema["class"].dataType.simpleString()
+    salts = F.ceil(F.col("size") / block)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            linked = [
+                _similar(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), per_cent)
+                for x, y in zip(batch.column(2), batch.column(3))
+            ]
+            yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
+
+    hubs = rows.where("class = family").select(
+        F.col("class").alias("a"), F.col("full").alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt")
+    )
+    others = rows.where("class <> family").select(
+        F.col("family").alias("a"), F.col("class").alias("b"), F.col("full").alias("y"), F.pmod(F.xxhash64("class"), salts).alias("salt")
+    )
+    return others.join(hubs, ["a", "salt"]).select("a", "b", "x", "y").mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def _with_matches(star: DataFrame, least: int) -> DataFrame:

@@ -3,7 +3,7 @@
 Every stage takes the documents the one before kept, written as Parquet and read again, and returns the documents it
 keeps with all their columns; the last returns the pieces of packed sequences.
 
-1. language ID: documents without a letter, or whose text speaks no learned language clearly, go;
+1. language ID: documents that speak no language (``und``: NULL, or without a letter) go;
 2. near duplicates: of each group of similar documents (five words, 0.8) the one with the least id stays;
 3. substring dedup: passages that an earlier document has are cut out of the text;
 4. decontamination: documents that hold a benchmark item go;
@@ -18,9 +18,6 @@ from pyspark.sql import functions as F
 from parcelwise.llm import decontaminate, language, neardup, packing, substrings
 from parcelwise.llm.neardup import Work
 
-#: Texts below this score speak none of the learned languages more than the others.
-CLEAR_LANGUAGE = 0.3
-
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows whose id isn't among ``ids``, and those without an id, as no operator could name them.
@@ -33,10 +30,10 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that clearly speak a language learned from all labelled ones. A NULL id is kept."""
+    """Keeps documents that speak a language, learned from all labelled ones; a low score alone rejects no
+    text, as short clean texts have low scores too."""
     model = language.fit(docs, F.lit(True))
-    unclear = (F.col("lang_pred") == language.UNKNOWN) | (F.col("score") < CLEAR_LANGUAGE)
-    return _without(docs, language.predict(docs, model).where(unclear))
+    return _without(docs, language.predict(docs, model).where(F.col("lang_pred") == language.UNKNOWN))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

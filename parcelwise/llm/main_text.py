@@ -299,12 +299,16 @@ def derived(page: str, rng: random.Random) -> str | None:
 
 
 def fit(pages: DataFrame, *, html_col: str = "html", sample_pages: int = SAMPLE_PAGES, variants: int = VARIANTS, seed: int = 1) -> Trees:
-    """Learns from ``sample_pages`` pages at most, those with the smallest hashes among pages with an article
-    and up to ``SAMPLE_CHARS`` characters. Without any such page nothing is learned, and no text is found."""
-    marked = pages.select(pages[html_col].alias("html")).where(
+    """Learns from ``sample_pages`` different pages at most, those with the smallest hashes among pages with an
+    article and up to ``SAMPLE_CHARS`` characters. Without any such page nothing is learned, and no text is found.
+
+    The hashes are looked up first, so that tasks send no pages but the chosen ones."""
+    marked = pages.select(pages[html_col].alias("html"), F.xxhash64(pages[html_col]).alias("draw")).where(
         F.col("html").contains("<article") & (F.char_length("html") <= SAMPLE_CHARS)
     )
-    sample = [r["html"] for r in marked.orderBy(F.xxhash64("html"), "html").limit(sample_pages).collect()]
+    draws = [r["draw"] for r in marked.select("draw").distinct().orderBy("draw").limit(sample_pages).collect()]
+    chosen = marked.where(F.col("draw") <= (draws[-1] if draws else 0)).groupBy("draw").agg(F.min("html").alias("html"))
+    sample = [r["html"] for r in sorted(chosen.limit(sample_pages).collect(), key=lambda r: r["draw"])]
     rng = random.Random(seed)
     xs, ys = [], []
     for page in sample:

@@ -129,44 +129,36 @@ class Work:
     """Numbered tables of one call in the shared folder."""
 
     def __init__(self, spark):
-        self.folder, self.n = scratch_folder(spark), 0
+        self.spark, self.folder, self.n = spark, scratch_folder(spark), 0
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, few: bool = False) -> DataFrame:
+        """The table, written; ``few``: its rows are names only, so an eighth of the usual partitions will do."""
         self.n += 1
+        if few:
+            df = df.coalesce(max(8, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 8))
         return written(df, f"{self.folder}/{self.n}")
 
 
 def components(nodes: DataFrame, edges: DataFrame, work: Work) -> DataFrame:
-    """``class`` to ``component``, the least class that edges lead to; ``nodes`` has both from before.
+    """``class`` to ``component``, the least that edges lead to.
 
-    Labels fall to the least among neighbours, then follow their own label (pointer jumping), until
-    nothing changes: a logarithmic number of rounds for the star-like graphs met here.
+    ``nodes`` has both from before; ``edges`` (a, b) are between names of components. Only names in edges take part:
+    each takes the least name among its neighbours and their names so far, then that name's own (pointer jumping),
+    until nothing changes: a logarithmic number of rounds for the star-like graphs met here.
     """
-    label = nodes
-    moved = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct()
-    moved = work.keep(moved)
-    if moved.isEmpty():
-        return label
+    both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct()
+    both = work.keep(both, few=True)
+    names = work.keep(both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")), few=True)
     while True:
-        seen = moved.join(label.withColumnRenamed("class", "b"), "b").groupBy("a").agg(F.min("component").alias("near"))
-        old = label.join(seen, label["class"] == seen["a"], "left").select(
-            "class", "component", F.least("component", F.coalesce("near", "component")).alias("low")
-        )
-        # A component that hears of a smaller one through any of its members falls as a whole.
-        fall = old.groupBy("component").agg(F.min("low").alias("low"))
-        fall = work.keep(fall.where("low < component"))
-        if fall.isEmpty():
-            return label
-        names = fall.withColumnRenamed("component", "was")
-        while True:  # chains of falling components end at their last member
-            step = names.join(fall.select(F.col("component").alias("low"), F.col("low").alias("lower")), "low", "left")
-            longer = work.keep(step.select("was", F.coalesce("lower", "low").alias("low"), F.col("lower").isNotNull().alias("open")))
-            names = longer.select("was", "low")
-            if longer.where("open").isEmpty():
-                break
-        label = work.keep(
-            label.join(names, label["component"] == names["was"], "left").select("class", F.coalesce("low", "component").alias("component"))
-        )
+        near = both.join(names.select(F.col("a").alias("b"), "low"), "b").groupBy("a").agg(F.min("low").alias("near"))
+        step = names.join(near, "a").select("a", F.col("low").alias("was"), F.least("low", "near").alias("low"))
+        up = names.select(F.col("a").alias("low"), F.col("low").alias("lower"))
+        moved = work.keep(step.join(up, "low").select("a", "was", F.least("low", "lower").alias("low")), few=True)
+        if moved.where("low < was").isEmpty():
+            break
+        names = moved.select("a", "low")
+    named = nodes.join(names, nodes["component"] == names["a"], "left")
+    return work.keep(named.select("class", F.coalesce("low", "component").alias("component")))
 
 
 def _pair_blocks(rows: DataFrame, group: str, block: int) -> DataFrame:
@@ -347,9 +339,13 @@ def _families(members: DataFrame, work: Work, least: int, similarity: float, blo
         sides.select(F.col("class").alias("hub"), F.col("n_shingles").alias("hub_n"), F.col("prints").alias("hub_prints")), "hub"
     )
     fits = F.least("n_shingles", "hub_n") >= similarity * F.greatest("n_shingles", "hub_n") - 1e-9
-    label = components(label, _with_matches(star.where(fits), least), work)
-    # Only postings of several families go on, as one that a single family has holds nothing new.
-    return components(label, _spanning(postings.join(label, "class"), "key", least, similarity, block), work)
+    star = work.keep(_with_matches(star.where(fits), least))
+    # A class shares its component with the least hub it agrees with; what that leaves open is told by postings that
+    # still hold several, as one that a single component has holds nothing new.
+    first = star.groupBy("b").agg(F.min("a").alias("hub"))
+    label = label.join(first, label["class"] == first["b"], "left").select("class", F.coalesce("hub", "class").alias("component"))
+    more = _spanning(postings.join(work.keep(label), "class"), "key", least, similarity, block)
+    return components(members.select("class", F.col("class").alias("component")), star.select("a", "b").union(more), work)
 
 
 def _linked(docs, members, work, least, words, similarity, block, id_col, text_col) -> DataFrame:
@@ -362,7 +358,9 @@ def _linked(docs, members, work, least, words, similarity, block, id_col, text_c
     rows = work.keep(family.join(members.select("class", "n_shingles", "prints"), "class").join(sets, "class"))
     label = rows.select("class", F.col("class").alias("component"))
     large = rows.where(F.col("size") > 4 * block)
-    label = components(label, _hub_links(large, similarity, block), work)
+    hub = _hub_links(large, similarity, block)  # a star, so its components are known
+    label = label.join(hub, label["class"] == hub["b"], "left").select("class", F.coalesce("a", "component").alias("component"))
+    label = work.keep(label)
     return components(label, _spanning(rows.join(label, "class"), "family", least, similarity, block), work)
 
 

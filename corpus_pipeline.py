@@ -5,7 +5,7 @@ keeps with all their columns; the last returns the pieces of packed sequences.
 
 1. language ID: documents that speak no language (``und``: NULL, or without a letter) go;
 2. near duplicates: of each group of similar documents (five words, 0.8) the one with the least id stays;
-3. substring dedup: passages that an earlier document has are cut out of the text;
+3. substring dedup: runs of 25 words or more that an earlier document has are cut out of the text;
 4. decontamination: documents that hold a benchmark item go;
 5. packing: what is left becomes sequences of at most 2048 tokens.
 """

@@ -1,20 +1,27 @@
-"""Repeated passages: units of text are normalised, their digests grouped globally, and all but the
-earliest occurrence go.
+"""Repeated passages: what an earlier place of the corpus has already goes, all but the earliest occurrence.
 
-A unit is a line, a paragraph, or (default) a sentence, extended by the ones after it until it has
-``min_words`` words. So a unit depends only on the text from its start on: a passage pasted into another text is
-found although the lines around differ, and a few words that recur by chance are no unit. A unit stands for all
-its sentences; those of a later occurrence are removed. Occurrences rank by id, then by place.
+The default ``unit="passage"`` looks at every run of ``min_words`` words, wherever it begins or ends: a word goes where
+such a run around it stands earlier. Posting every run would cost a row a word, so texts are cut by content first.
+The runs of a text that share their least short word window (``f``; the rightmost of equals) are a stretch, and
+a stretch is posted as (``f``, digest of its words ``g``). Equal runs have equal ``f``, so
 
-Within a text later occurrences are known at once. Between texts the least id of each digest is found by an
-aggregate with map-side combine; only digests of several texts are joined back. No group is collected: a digest
-that a third of all texts has is one row.
+* a stretch whose (f, g) stands earlier is repeated as a whole;
+* only where one ``f`` has several ``g`` can stretches share some runs and not others: there the first text of
+  each (f, g) posts its runs one by one. So a passage is followed word by word to its ends, and only there.
+
+The other units are lines, paragraphs and sentences, extended by those after it until they have ``min_words`` words;
+a unit depends only on the text from its start on and is found as a whole or not at all.
+
+Occurrences rank by id, then by place. Within a text later occurrences are known at once. Between texts the least id of
+each digest is found by an aggregate with map-side combine; only digests of several texts are joined back. No
+group is collected: a digest that a third of all texts has is one row.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelwise.llm.neardup import Work
+from parcelwise.llm.words import mixed, windows
 
 MIN_WORDS = 25
+#: Base of the rolling hashes, odd so that it has an inverse modulo 2**64.
+_BASE = 0x9E3779B97F4A7C17
+_SPACES = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_BYTES = np.random.default_rng(5).integers(0, 1 << 64, 256, np.uint64, endpoint=False)
 
 #: What lies between two units.
 _GAPS = {
@@ -92,16 +104,170 @@ def _text_units(docs: DataFrame, unit: str, min_words: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, h1 long, h2 long, start int, end int, again boolean")
 
 
+@cache
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of the base from 0 to ``size`` - 1, and of its inverse."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        steps = np.full(size, base, np.uint64)
+        steps[0] = 1
+        out.append(np.cumprod(steps, dtype=np.uint64))
+    return out[0], out[1]
+
+
+def _rolled(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of ``values[start:end]`` for each start and end, whatever lies before."""
+    powers, inverse = _powers(1 << max(12, len(values).bit_length()))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers[: len(values)], dtype=np.uint64)])
+    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * np.uint64(_BASE))
+
+
+def _bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    space = np.concatenate([[True], _SPACES[raw], [True]])
+    return np.flatnonzero(space[:-1] & ~space[1:]), np.flatnonzero(~space[:-1] & space[1:])
+
+
+def word_places(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash in lower case, start, end) of every word between ASCII white space; places are characters."""
+    raw = np.frombuffer(text.encode(), np.uint8)
+    starts, ends = _bounds(raw)
+    low = np.frombuffer(text.lower().encode(), np.uint8)
+    # Lower case may have other lengths, but no white space more or less.
+    hashes = _rolled(_BYTES[low], *((starts, ends) if len(low) == len(raw) and text.isascii() else _bounds(low)))
+    if len(raw) > len(text):
+        place = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+        starts, ends = place[starts], place[ends]
+    return hashes, starts, ends
+
+
+def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """The hash of every run of ``size`` words."""
+    starts = np.arange(len(words) - size + 1)
+    return _rolled(words, starts, starts + size)
+
+
+def stretches(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, word behind the last, ``f``, ``g``) of every stretch, for at least ``min_words`` words."""
+    size = max(1, min_words // 3)
+    width = min_words - size + 1
+    short = windows(words, size)
+    least = np.lib.stride_tricks.sliding_window_view(short, width)[:, ::-1].argmin(axis=1)
+    chosen = np.arange(len(least)) + width - 1 - least
+    first = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
+    behind = np.concatenate([first[1:], [len(least)]]) - 1 + min_words
+    return first, behind, short[chosen[first]], _rolled(words, first, behind)
+
+
+def _text_stretches(docs: DataFrame, min_words: int) -> DataFrame:
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                owners, found = [], []
+                for k, value in enumerate(part.column(1)):
+                    words, starts, ends = word_places(value.as_py())
+                    if len(words) < min_words:
+                        continue
+                    first, behind, f, g = stretches(words, min_words)
+                    again = np.ones(len(first), bool)
+                    again[np.unique(np.stack([f, g]), axis=1, return_index=True)[1]] = False
+                    owners.append(np.full(len(first), k))
+                    found.append((f.view(np.int64), g.view(np.int64), starts[first], ends[behind - 1], again))
+                if not found:
+                    continue
+                f, g, start, end, again = map(np.concatenate, zip(*found))
+                own = pa.array(np.concatenate(owners))
+                yield pa.record_batch(
+                    [part.column(0).take(own), part.column(2).take(own), pa.array(f), pa.array(g), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(again)],
+                    names=["doc_id", "t", "f", "g", "start", "end", "again"],
+                )
+
+    return docs.select("doc_id", "text", "t").mapInArrow(run, f"doc_id {kind}, t long, f long, g long, start int, end int, again boolean")
+
+
+def _stretch_runs(docs: DataFrame, min_words: int) -> DataFrame:
+    """The runs of the stretches in ``own``, a sorted array of (start, end, f, g) beside each text."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 100):
+                part = batch.slice(at, 100)
+                owners, found = [], []
+                for k, (text, own) in enumerate(zip(part.column(1).to_pylist(), part.column(2).to_pylist())):
+                    words, starts, ends = word_places(text)
+                    hashes = run_hashes(words, min_words)
+                    seen = set()
+                    for x in own:
+                        first = int(np.searchsorted(starts, x["start"]))
+                        behind = int(np.searchsorted(ends, x["end"])) + 1
+                        for p in range(first, behind - min_words + 1):
+                            h = hashes[p].astype(np.int64)
+                            key = (x["f"], h)
+                            owners.append(k)
+                            found.append((x["f"], x["g"], h, starts[p], ends[p + min_words - 1], key in seen))
+                            seen.add(key)
+                if not found:
+                    continue
+                f, g, h, start, end, again = zip(*found)
+                yield pa.record_batch(
+                    [part.column(0).take(pa.array(owners)), *(pa.array(x, pa.int64()) for x in (f, g, h)), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(again)],
+                    names=["doc_id", "f", "g", "h", "start", "end", "again"],
+                )
+
+    return docs.select("doc_id", "text", "own").mapInArrow(run, f"doc_id {kind}, f long, g long, h long, start int, end int, again boolean")
+
+
+def _passages(work: Work, docs: DataFrame, min_words: int) -> DataFrame:
+    """(``doc_id``, ``start``, ``end``, ``first_doc_id``) of repeated stretches and runs; they overlap."""
+    docs = docs.withColumn("t", F.xxhash64("text"))  # rows that repeat an id may differ in text
+    found = work.keep(_text_stretches(docs, min_words))
+    by_f = found.where("NOT again").groupBy("f").agg(
+        F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.min("g").alias("c"), F.max("g").alias("d")
+    )
+    shared = work.keep(by_f.where("a < b OR c < d").select("f", F.expr("c < d").alias("several")))
+    held = work.keep(found.join(shared, "f"))
+    least = work.keep(held.groupBy("f", "g").agg(F.min("doc_id").alias("first_doc_id")))  # so that the join can split hot keys
+    held = work.keep(held.join(least, ["f", "g"]))
+    firsts = held.where("several AND NOT again AND doc_id = first_doc_id")
+    listed = work.keep(firsts.groupBy("doc_id", "t").agg(F.sort_array(F.collect_set(F.struct("start", "end", "f", "g"))).alias("own")))
+    runs = work.keep(_stretch_runs(docs.join(listed, ["doc_id", "t"]), min_words))
+    by_run = runs.groupBy("f", "h").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"))
+    by_run = work.keep(by_run.where("first_doc_id < last_doc_id").drop("last_doc_id"))
+    later_runs = work.keep(runs.join(by_run, ["f", "h"]).where("doc_id > first_doc_id"))
+    earlier = work.keep(later_runs.groupBy("f", "g").agg(F.min("first_doc_id").alias("earlier")))
+    later = held.where("doc_id > first_doc_id").join(earlier, ["f", "g"], "left")
+    columns = ("doc_id", "start", "end")
+    return (
+        later.select(*columns, F.least("first_doc_id", "earlier").alias("first_doc_id"))
+        .unionByName(later_runs.select(*columns, "first_doc_id"))
+        .unionByName(runs.where("again").select(*columns, F.col("doc_id").alias("first_doc_id")))
+        .unionByName(found.where("again").select(*columns, F.col("doc_id").alias("first_doc_id")))
+    )
+
+
+def _whole_units(work: Work, docs: DataFrame, unit: str, min_words: int) -> DataFrame:
+    """The same for repeated units."""
+    found = work.keep(_text_units(docs, unit, min_words))
+    once = found.where("NOT again")
+    several = once.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"))
+    several = work.keep(several.where("first_doc_id < last_doc_id").drop("last_doc_id"))
+    later = found.join(several, ["h1", "h2"]).where("doc_id > first_doc_id").select("doc_id", "start", "end", "first_doc_id")
+    return later.unionByName(found.where("again").select("doc_id", "start", "end", F.col("doc_id").alias("first_doc_id")))
+
+
 def repeated_spans(
     docs: DataFrame,
     *,
-    unit: str = "sentence",
+    unit: str = "passage",
     min_words: int = MIN_WORDS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """One row per span to remove: ``doc_id``, ``start``, ``end`` (characters of the original text) and
-    ``first_doc_id``, the least id that has a part of it first.
+    ``first_doc_id``, the least id that has a run (or unit) of it first.
 
     Spans of a text neither overlap nor touch. NULL and empty texts, and texts of fewer than ``min_words`` words,
     have no span. Rows that repeat an id are the same document to the ranking: they keep what is theirs first. Rows
@@ -109,14 +275,9 @@ def repeated_spans(
     """
     work = Work(docs.sparkSession)
     narrow = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    found = work.keep(_text_units(narrow, unit, min_words))
-    once = found.where("NOT again")
-    several = once.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"))
-    several = work.keep(several.where("first_doc_id < last_doc_id").drop("last_doc_id"))
-    later = found.join(several, ["h1", "h2"]).where("doc_id > first_doc_id").select("doc_id", "start", "end", "first_doc_id")
-    own = found.where("again").select("doc_id", "start", "end", F.col("doc_id").alias("first_doc_id"))
-    # The spans of one text: as many as it has units at most.
-    spans = later.unionByName(own).groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "end", "first_doc_id"))).alias("s"))
+    later = _passages(work, narrow, min_words) if unit == "passage" else _whole_units(work, narrow, unit, min_words)
+    # The spans of one text: as many as it has words or units at most.
+    spans = later.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "end", "first_doc_id"))).alias("s"))
     merged = F.aggregate(
         "s",
         F.slice("s", 1, 0),

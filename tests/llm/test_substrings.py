@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -81,3 +82,49 @@ def test_one_text_null_ids_repeated_rows_and_empty(spark):
     assert sorted(str(r["text"]) for r in remove_spans(docs, spans).collect()) == sorted([long + "Else.  ", long, "x\n ", "x\n "])
     empty = docs.limit(0)
     assert repeated_spans(empty).collect() == [] and remove_spans(empty, repeated_spans(empty)).collect() == []
+
+
+def brute_runs(rows, min_words):
+    """Words (by place) and first documents of every run of words that stands earlier, by id and place."""
+    seen, out = {}, {}
+    for i, text in sorted(rows, key=lambda r: r[0]):
+        words = [(m.group().lower(), m.start(), m.end()) for m in re.finditer(r"[^ \t\n\v\f\r]+", text or "")]
+        for k in range(len(words) - min_words + 1):
+            key = tuple(w for w, _, _ in words[k : k + min_words])
+            if key in seen:
+                for p in range(k, k + min_words):
+                    out.setdefault(i, {}).setdefault(words[p][1:], set()).add(seen[key])
+            seen.setdefault(key, i)
+    return out
+
+
+@pytest.mark.parametrize("min_words", [3, 12])
+def test_passages_match_brute_force_over_all_runs(spark, min_words):
+    """Passages pasted in mid-sentence, out of long sentences and rows without marks, İ and periodic text."""
+    rng = random.Random(7)
+    word = lambda: rng.choice(["", "É", "İ"]) + "".join(rng.choices("abcdefgh", k=rng.randint(1, 4)))
+    plain = [[word() for _ in range(60)] for _ in range(6)]
+    rows = []
+    for n in range(60):
+        own = [word() + rng.choice(["", "", ".", " |"]) for _ in range(rng.randint(0, 60))]
+        for _ in range(rng.choice([0, 1, 2, 3])):
+            passage = rng.choice(plain)
+            begin = rng.randint(0, 40)
+            at = rng.randint(0, len(own))
+            own[at:at] = [w.upper() if rng.random() < 0.2 else w for w in passage[begin : begin + rng.randint(5, 60)]]
+        rows.append((n, rng.choice([" ", "  ", "\n"]).join(own)))
+    rows += [(100, ""), (101, rows[3][1]), (102, "the " * 40), (103, "a b c " * 30 + "the " * 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute_runs(rows, min_words)
+    texts, got = dict(rows), {}
+    for r in repeated_spans(docs, min_words=min_words).collect():
+        inside = {p: f for p, f in want[r["doc_id"]].items() if r["start"] <= p[0] and p[1] <= r["end"]}
+        assert r["first_doc_id"] == min(set().union(*inside.values()))
+        got.setdefault(r["doc_id"], set()).update(k for k in range(r["start"], r["end"]) if texts[r["doc_id"]][k] not in " \n")
+    assert got == {i: {k for a, b in own for k in range(a, b)} for i, own in want.items()}
+
+
+def test_passage_in_mid_sentence_without_marks(spark):
+    passage = " ".join(f"word{k}" for k in range(60))
+    docs = spark.createDataFrame([(1, "Some first words " + passage + " and on."), (2, "Other ones before " + passage + " then more words | and | on")], "doc_id long, text string")
+    assert [tuple(r) for r in repeated_spans(docs).collect()] == [(2, 18, 18 + len(passage), 1)]

@@ -96,22 +96,32 @@ class Attention:
     def train(self, symbols: np.ndarray, targets: np.ndarray, counted: np.ndarray, *, steps: int, batch: int, rate: float, seed: int) -> list[float]:
         """Adam over random windows, the rate falling to nothing; the losses of the steps."""
         rng = np.random.default_rng(seed)
-        first = {name: np.zeros_like(getattr(self, name)) for name in self.NAMES}
-        second = {name: np.zeros_like(getattr(self, name)) for name in self.NAMES}
-        losses = []
+        trainer, losses = Adam(self), []
         for t in range(1, steps + 1):
             own = rng.integers(0, len(symbols), min(batch, len(symbols)))
-            loss, slopes = self.step(symbols[own], targets[own], counted[own])
-            losses.append(loss)
-            now = rate * (1 - (t - 1) / steps)
-            for name, g in slopes.items():
-                first[name] += 0.1 * (g - first[name])
-                second[name] += 0.01 * (g * g - second[name])
-                move = first[name] / (1 - 0.9**t) / (np.sqrt(second[name] / (1 - 0.99**t)) + 1e-8)
-                getattr(self, name)[...] -= (now * move).astype(np.float32)
+            losses.append(trainer.step(symbols[own], targets[own], counted[own], rate * (1 - (t - 1) / steps)))
         return losses
 
 
+class Adam:
+    """Steps on a model's weights."""
+
+    def __init__(self, model: Attention):
+        self.model, self.t = model, 0
+        self.first = {name: np.zeros_like(getattr(model, name)) for name in model.NAMES}
+        self.second = {name: np.zeros_like(getattr(model, name)) for name in model.NAMES}
+
+    def step(self, symbols: np.ndarray, targets: np.ndarray, counted: np.ndarray, rate: float) -> float:
+        loss, slopes = self.model.step(symbols, targets, counted)
+        self.t += 1
+        for name, g in slopes.items():
+            self.first[name] += 0.1 * (g - self.first[name])
+            self.second[name] += 0.01 * (g * g - self.second[name])
+            move = self.first[name] / (1 - 0.9**self.t) / (np.sqrt(self.second[name] / (1 - 0.99**self.t)) + 1e-8)
+            getattr(self.model, name)[...] -= (rate * move).astype(np.float32)
+        return loss
+
+
 def overlapping(ids: list[np.ndarray], half: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows over several texts: (places of what is read, places of what is scored, owner of each window).
 

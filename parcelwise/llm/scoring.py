@@ -1,9 +1,11 @@
 """Scores texts by a small language model and by a word model with add-one smoothing.
 
 The language model works on subword ids. P(id | before) = P(class of id | before) * P(id | class): the class is
-predicted by a causal self-attention model (``attention``), trained in numpy on a bounded sample of the training
-rows; the second factor comes from counts over all training rows. Classes are clusters of ids
-with like neighbours in the sample; rare ids share classes by whether they end a word.
+predicted by a causal self-attention model (``attention``); the second factor comes from counts over all training
+rows. Classes are clusters of ids with like neighbours, counted over all training rows; rare ids share classes by whether
+they end a word. The model is started in numpy on a bounded sample and then trained on every id of every training row:
+in ``ROUNDS`` rounds, each over the rows of one fold, tasks take steps on their own rows and the weights they end with are
+averaged by the ids they saw. Only weights, counts by id and counts of neighbours reach the driver.
 
 The word model needs the training count of every word, and words are as many as the corpus makes them. The most
 frequent of all rows' words (at most ``head_words``) go to every task; the others are joined, a row for each
@@ -14,6 +16,7 @@ Words are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import copy
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelwise.llm.attention import Attention, overlapping
+from parcelwise.llm.attention import Adam, Attention, overlapping
 from parcelwise.llm.neardup import Work
 from parcelwise.llm.packing import TOKENIZER, id_table
 from parcelwise.llm.words import WordHashes
@@ -38,6 +41,11 @@ SYMBOLS = 1500
 WIDTH = 16
 HALF = 16
 STEPS = 800
+ROUNDS = 4
+ROUND_RATE = 0.003
+#: Weights are summed as whole numbers, so that their order doesn't matter.
+_UNIT = 1 << 20
+_MARKS = 200
 TABLE_WORDS = 400_000
 END = 49407
 #: The word that closes every text; no word of a text holds white space.
@@ -138,23 +146,31 @@ class Language:
         return total / np.log(10)
 
 
-def _clusters(texts: list[np.ndarray], counts: np.ndarray, ends: np.ndarray, classes: int, symbols: int) -> tuple[np.ndarray, np.ndarray]:
-    """(class, symbol) by id: the commonest ids are symbols of their own, and are clustered by their neighbours."""
-    n = len(counts)
-    flat = np.concatenate(texts) if texts else np.zeros(0, np.int64)
-    common = np.argsort(-np.bincount(flat, minlength=n), kind="stable")[: symbols - 3]
-    common = common[np.bincount(flat, minlength=n)[common] > 1]
-    alone = common[: max(0, classes // 2)]
-    place = np.full(n, -1)
+def _common(counts: np.ndarray, symbols: int) -> np.ndarray:
+    """The commonest ids, which are symbols of their own."""
+    common = np.argsort(-counts, kind="stable")[: symbols - 3]
+    return common[counts[common] > 1]
+
+
+def _neighbours(texts: list[np.ndarray], common: np.ndarray, n: int) -> np.ndarray:
+    """By common id: how often each of the first of them, another id or a border stands left and right of it."""
+    marks = _MARKS + 1
+    place, mark = np.full(n + 1, -1), np.full(n + 1, _MARKS)
     place[common] = np.arange(len(common))
-    marks = np.full(n, 200)
-    marks[common[:200]] = np.arange(min(200, len(common)))
-    shape = np.zeros((len(common), 402))
+    mark[common[:_MARKS]] = np.arange(min(_MARKS, len(common)))
+    flat = np.concatenate([x for own in texts for x in (own, [n])] or [np.zeros(0)]).astype(np.int64)
+    out = np.zeros(len(common) * 2 * marks, np.int64)
     left, right = flat[:-1], flat[1:]
-    for a, b, at in ((left, right, 0), (right, left, 201)):
+    for a, b, at in ((left, right, 0), (right, left, marks)):
         known = place[a] >= 0
-        np.add.at(shape, (place[a[known]], at + marks[b[known]]), 1)
-    shape = np.sqrt(shape / np.maximum(shape.sum(axis=1, keepdims=True), 1))
+        out += np.bincount(place[a[known]] * 2 * marks + at + mark[b[known]], minlength=len(out))
+    return out.reshape(len(common), 2 * marks)
+
+
+def _clusters(common: np.ndarray, neighbours: np.ndarray, ends: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """(class, symbol) by id: common ids are symbols of their own, and are clustered by their neighbours."""
+    alone = common[: max(0, classes // 2)]
+    shape = np.sqrt(neighbours / np.maximum(neighbours.sum(axis=1, keepdims=True), 1))
     groups = max(1, classes - len(alone) - 2)
     rest = np.arange(len(alone), len(common))
     group = np.zeros(len(rest), int)
@@ -173,8 +189,15 @@ def _clusters(texts: list[np.ndarray], counts: np.ndarray, ends: np.ndarray, cla
     return class_of, symbol_of
 
 
-def _learn(texts: list[np.ndarray], counts: np.ndarray, ends: np.ndarray, seed: int, steps: int) -> tuple[Language, list[float]]:
-    class_of, symbol_of = _clusters(texts, counts, ends, CLASSES, SYMBOLS)
+def _learn(
+    texts: list[np.ndarray], counts: np.ndarray, ends: np.ndarray, seed: int, steps: int, found: tuple[np.ndarray, np.ndarray] | None = None
+) -> tuple[Language, list[float]]:
+    """The model after ``steps`` on ``texts``; ``found`` are the common ids and their neighbours, else those of the texts."""
+    if found is None:
+        flat = np.concatenate(texts) if texts else np.zeros(0, np.int64)
+        common = _common(np.bincount(flat, minlength=len(counts)), SYMBOLS)
+        found = common, _neighbours(texts, common, len(counts))
+    class_of, symbol_of = _clusters(*found, ends, CLASSES)
     size = np.bincount(class_of, minlength=CLASSES)
     mass = np.bincount(class_of, counts + 0.5, CLASSES)
     within = np.log((counts + 0.5) / mass[class_of])
@@ -183,12 +206,94 @@ def _learn(texts: list[np.ndarray], counts: np.ndarray, ends: np.ndarray, seed:
     language = Language(attention, symbol_of, class_of, within)
     if not texts:
         return language, []
-    read, scored, _ = overlapping(texts, HALF)
+    losses = attention.train(*_windows(language, texts), steps=steps, batch=256, rate=0.02, seed=seed)
+    return language, losses
+
+
+def _windows(language: Language, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, classes to predict, 1 where one is) of every window."""
+    read, scored, _ = overlapping(texts, language.attention.half)
     flat = np.concatenate([[0], *texts]).astype(np.int64)
-    symbols = symbol_of[flat]
+    symbols = language.symbol_of[flat]
     symbols[0] = 0
-    losses = attention.train(symbols[read], class_of[flat[scored]], (scored >= 0).astype(np.float32), steps=steps, batch=256, rate=0.02, seed=seed)
-    return language, losses
+    return symbols[read], language.class_of[flat[scored]], (scored >= 0).astype(np.float32)
+
+
+def _training_ids(rows: DataFrame, path: str) -> DataFrame:
+    """(``draw``, ``fold``, ``ids``): all ids of every row, two bytes each, and the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = id_table(path)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                own = [np.append(_ids(v.as_py().encode(), table), np.uint32(END)).astype("<u2").tobytes() for v in part.column(2)]
+                yield pa.record_batch([part.column(0), part.column(1), pa.array(own, pa.binary())], names=["draw", "fold", "ids"])
+
+    draw = F.xxhash64("doc_id")
+    fold = F.pmod(F.xxhash64("text"), F.lit(ROUNDS)).cast("int")
+    return rows.select(draw.alias("draw"), fold.alias("fold"), "text").mapInArrow(run, "draw long, fold int, ids binary")
+
+
+def _texts(batch: pa.RecordBatch, most: int) -> Iterator[list[np.ndarray]]:
+    """The ids of ``most`` rows at a time."""
+    for at in range(0, batch.num_rows, most):
+        yield [np.frombuffer(x.as_py(), "<u2").astype(np.int64) for x in batch.column(0).slice(at, most)]
+
+
+def _summed(df: DataFrame, size: int) -> np.ndarray:
+    """``value`` summed by ``place``, of at most ``size`` places."""
+    table = df.groupBy("place").agg(F.sum("value").alias("value")).toArrow()
+    out = np.zeros(size, np.int64)
+    out[table["place"].to_numpy()] = table["value"].to_numpy()
+    return out
+
+
+def _all_neighbours(ids: DataFrame, common: np.ndarray, n: int) -> np.ndarray:
+    width = 2 * (_MARKS + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(common), width), np.int64)
+        for batch in batches:
+            for texts in _texts(batch, 500):
+                total += _neighbours(texts, common, n)
+        used = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(used), pa.array(total.ravel()[used])], names=["place", "value"])
+
+    return _summed(ids.select("ids").mapInArrow(run, "place long, value long"), len(common) * width).reshape(len(common), width)
+
+
+def _train_on_all(language: Language, ids: DataFrame, seed: int) -> None:
+    """One step for every batch of windows of every row; tasks' weights are averaged at the end of each round."""
+    attention = language.attention
+    shapes = [getattr(attention, name).shape for name in attention.NAMES]
+    cuts = np.cumsum([int(np.prod(x)) for x in shapes])
+    for fold in range(ROUNDS):
+        shared = ids.sparkSession.sparkContext.broadcast(language)
+        rate = ROUND_RATE * (1 - fold / ROUNDS)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, rate=rate, fold=fold) -> Iterator[pa.RecordBatch]:
+            own = copy.deepcopy(shared.value)
+            rng = np.random.default_rng([seed, fold])
+            trainer, n = Adam(own.attention), 0
+            for batch in batches:
+                for texts in _texts(batch, 64):
+                    symbols, goals, counted = _windows(own, texts)
+                    order = rng.permutation(len(symbols))
+                    for some in np.array_split(order, -(-len(order) // 256)):
+                        trainer.step(symbols[some], goals[some], counted[some], rate)
+                    n += sum(map(len, texts))
+            if n:
+                weights = np.concatenate([getattr(own.attention, name).ravel() for name in own.attention.NAMES]).astype(np.float64)
+                values = np.append(np.rint(weights * _UNIT).astype(np.int64) * n, n)
+                yield pa.record_batch([pa.array(np.arange(len(values))), pa.array(values)], names=["place", "value"])
+
+        sums = _summed(ids.where(F.col("fold") == fold).select("ids").mapInArrow(run, "place long, value long"), cuts[-1] + 1)
+        if sums[-1]:
+            means = (sums[:-1] / sums[-1] / _UNIT).astype(np.float32)
+            for name, shape, values in zip(attention.NAMES, shapes, np.split(means, cuts[:-1])):
+                setattr(attention, name, values.reshape(shape))
+        shared.unpersist()
 
 
 def score_texts(
@@ -207,8 +312,9 @@ def score_texts(
 
     Tokens are the words between ASCII white space, A-Z in lower case, and one end. ``n_known`` counts those that
     the training rows have; ``base_score`` is the word model's log10 probability, ``score`` the language model's.
-    Counts, sums and scores cover all rows and whole texts. The attention model's weights are fitted to at most about
-    ``sample_rows`` training rows (smallest hashes), of each a stretch of ``SAMPLE_IDS`` ids at a hashed place.
+    Counts, sums, scores and training cover all rows and whole texts. The attention model starts with ``steps`` on at most about
+    ``sample_rows`` training rows (smallest hashes), of each a stretch of ``SAMPLE_IDS`` ids at a hashed place; then it
+    is trained on every training row once.
 
     NULL text counts as empty: its end alone. Repeated rows and NULL ids are scored like others, a NULL ``train`` is
     no training row; other columns are ignored, an empty table gives no row. Without training rows every count is 0.
@@ -226,9 +332,13 @@ def score_texts(
         id_counts[r["key"]] = r["n_train"]
     ends = id_table(path).word_ends()
     rows = narrow.where("train AND text IS NOT NULL")
-    share = min(1.0, sample_rows / max(1, rows.count()))
-    drawn = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < share * 1_000_003)
-    language, _ = _learn(_sample(drawn, path), id_counts, ends, seed, steps)
+    ids = work.keep(_training_ids(rows, path))
+    common = _common(id_counts, SYMBOLS)
+    found = common, _all_neighbours(ids, common, len(id_counts))
+    share = min(1.0, sample_rows / max(1, ids.count()))
+    drawn = ids.where(F.pmod("draw", F.lit(1_000_003)) < share * 1_000_003)
+    language, _ = _learn(_sample(drawn), id_counts, ends, seed, steps, found)
+    _train_on_all(language, ids, seed)
 
     session = docs.sparkSession
     shared = session.sparkContext.broadcast((language, head_keys, np.log10(head_counts + 1.0), head_counts > 0))
@@ -285,19 +395,18 @@ def score_texts(
     )
 
 
-def _sample(drawn: DataFrame, path: str) -> list[np.ndarray]:
+def _sample(drawn: DataFrame) -> list[np.ndarray]:
     """Ids of the drawn rows, of each a stretch of bounded length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = id_table(path)
         for batch in batches:
             own = []
-            for value in batch.column(0):
-                ids = np.append(_ids((value.as_py() or "").encode(), table), np.uint32(END))
+            for value in batch.column(1):
+                ids = np.frombuffer(value.as_py(), "<u2")
                 begin = (len(ids) * 7919) % max(1, len(ids) - SAMPLE_IDS + 1)
-                own.append(ids[begin : begin + SAMPLE_IDS].astype("<u4").tobytes())
-            yield pa.record_batch([batch.column(1), pa.array(own, pa.binary())], names=["draw", "ids"])
+                own.append(ids[begin : begin + SAMPLE_IDS].tobytes())
+            yield pa.record_batch([batch.column(0), pa.array(own, pa.binary())], names=["draw", "ids"])
 
-    found = drawn.select("text", F.xxhash64("doc_id").alias("draw")).mapInArrow(run, "draw long, ids binary")
+    found = drawn.select("draw", "ids").mapInArrow(run, "draw long, ids binary")
     rows = sorted((r["draw"], bytes(r["ids"])) for r in found.collect())
-    return [np.frombuffer(ids, "<u4").astype(np.int64) for _, ids in rows]
+    return [np.frombuffer(ids, "<u2").astype(np.int64) for _, ids in rows]

@@ -126,3 +126,23 @@ def test_held_out_text_is_likelier_than_by_single_ids(spark):
     logs = np.log10(counts / counts.sum())
     held = [i for i in ids if rows[i]["held_out"]]
     assert sum(rows[i]["score"] for i in held) > 0.85 * sum(logs[ids[i]].sum() for i in held)
+
+
+def test_all_training_rows_shape_the_model(spark):
+    """A source outside the sample, in long texts: its ids and their order are learned all the same."""
+    rng = np.random.default_rng(4)
+    names = [f"{a}{b}" for a in ("zorb", "quil", "vamp", "drex") for b in ("ine", "osk", "ula")]
+
+    def chain(n):
+        at, own = 0, []
+        for _ in range(n):
+            at = (at * 5 + 1) % 12 if rng.random() < 0.95 else int(rng.integers(0, 12))
+            own.append(names[at])
+        return own
+
+    rows = [(k, " ".join(chain(400))) for k in range(120)]
+    held = [(1000, " ".join(ordered := chain(400))), (1001, " ".join(rng.permutation(ordered)))]
+    docs = spark.createDataFrame(rows + held, "doc_id long, text string").repartition(2)
+    # No row is drawn for the start, so only what is counted and trained over all rows can tell order from none.
+    got = {r["doc_id"]: r["score"] for r in score_texts(docs, F.col("doc_id") < 1000, sample_rows=0, steps=5).collect()}
+    assert got[1000] > got[1001] + 15

@@ -3,7 +3,7 @@
 Every stage takes the documents the one before kept, written as Parquet and read again, and returns the documents it
 keeps with all their columns; the last returns the pieces of packed sequences.
 
-1. language ID: documents that speak no language (``und``: NULL, or without a letter) go;
+1. language ID: documents that speak no learned language (NULL, without a letter, or hardly a letter in known words) go;
 2. near duplicates: of each group of similar documents (five words, 0.8) the one with the least id stays;
 3. substring dedup: runs of 25 words or more that an earlier document has are cut out of the text;
 4. decontamination: documents that hold a benchmark item go;
@@ -19,6 +19,10 @@ from parcelwise.llm import decontaminate, language, neardup, packing, substrings
 from parcelwise.llm.neardup import Work
 
 
+#: Share of letters that must be known to the predicted language.
+LEAST_KNOWN = 0.2
+
+
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows whose id isn't among ``ids``, and those without an id, as no operator could name them.
 
@@ -30,10 +34,11 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that speak a language, learned from all labelled ones; a low score alone rejects no
-    text, as short clean texts have low scores too."""
+    """Keeps documents that speak a language, learned from all labelled ones. Of a text that goes less than ``LEAST_KNOWN`` of
+    the letters lie in words or grams of the predicted language; short clean texts have as great a share as long ones."""
     model = language.fit(docs, F.lit(True))
-    return _without(docs, language.predict(docs, model).where(F.col("lang_pred") == language.UNKNOWN))
+    found = language.predict(docs, model, evidence=True)
+    return _without(docs, found.where((F.col("lang_pred") == language.UNKNOWN) | (F.col("known") < LEAST_KNOWN)))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -58,3 +58,24 @@ def test_held_out_accuracy(spark):
 
     got = op8_language_id(spark, "/root/testdata/sf0.01").join(docs, "doc_id").where("held_out")
     assert got.select(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0] > 0.98
+
+
+def test_pipeline_stage_rejects_unlearned_scripts_and_noise_but_no_short_clean_text(spark):
+    import random
+
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    whole = docs.where("lang IS NOT NULL AND length(text) > 300").orderBy("doc_id").limit(60).collect()
+    short = [(10**7 + k, " ".join(r["text"].split()[:4]), None, "x", 0) for k, r in enumerate(whole) if sum(map(str.isalpha, " ".join(r["text"].split()[:4]))) > 8]
+    rng = random.Random(3)
+    noise = [" ".join("".join(rng.choices("bcdfghjklmnpqrstvwxzaeiou", k=rng.randint(4, 9))) for _ in range(n)) for n in (5, 40, 400)]
+    other = ["το σπίτι είναι μεγάλο και ο δρόμος μακρύς", "这是一个没有学过的语言的句子", "это предложение " * 50, *noise]
+    foreign = [(2 * 10**7 + k, x, None, "x", 0) for k, x in enumerate(other)]
+    given = docs.unionByName(spark.createDataFrame(short + foreign, docs.schema))
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, given, "").select("doc_id").collect()}
+    assert not kept & {r[0] for r in foreign}
+    assert len(short) > 30 and {r[0] for r in short} <= kept
+    gone = [r for r in docs.collect() if r["doc_id"] not in kept]
+    print("gone of", docs.count(), ":", len(gone), [r["text"][:60] for r in gone[:5]])
+    assert len(gone) < 0.01 * docs.count()

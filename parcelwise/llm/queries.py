@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, decontaminate, language, main_text, neardup, packing, quality, scoring, substrings, token_counts
+from parcelwise.llm import chat, decontaminate, fingerprints, language, main_text, neardup, packing, quality, scoring, substrings, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,6 +105,23 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def fingerprint_digests(docs: DataFrame) -> DataFrame:
+    sketched = fingerprints.fingerprints(docs)
+    return sketched.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.fingerprint(F.col("sketch")).alias("fingerprint"),
+        fingerprints.fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_chat_formatting": op2_chat_formatting,
@@ -116,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_main_text": op10_main_text,
+    "op12_document_fingerprints": op12_document_fingerprints,
 }
 
 _CHAT_SQL = r"""
@@ -170,7 +188,44 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured)
 """
 
+_FINGERPRINT_SQL = r"""
+WITH ordered AS (
+  SELECT doc_id, coalesce(text, '') AS text, row_number() OVER (ORDER BY doc_id DESC) AS place FROM documents
+), edits AS (
+  SELECT doc_id, text, length(text)::BIGINT AS n_chars,
+         coalesce(lead(text) OVER (ORDER BY place), first(text) OVER (ORDER BY place)) AS next_text
+  FROM ordered
+), texts AS (
+  SELECT doc_id, n_chars, text, next_text,
+         substring(text, 1, n_chars - n_chars // 2) || substring(next_text, 1, n_chars // 2) AS edited
+  FROM edits
+), split AS (
+  SELECT doc_id, 'own' AS kind, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS words FROM texts
+  UNION ALL SELECT doc_id, 'edited', regexp_extract_all(lower(edited), '[^\x20\x09-\x0D]+') FROM texts
+  UNION ALL SELECT doc_id, 'next', regexp_extract_all(lower(next_text), '[^\x20\x09-\x0D]+') FROM texts
+), sketches AS (
+  SELECT doc_id, kind,
+         CASE WHEN len(words) = 0 THEN CAST([] AS VARCHAR[])
+              ELSE list_sort(list_distinct(list_transform(range(greatest(len(words) - 4, 1)),
+                     lambda i: substring(md5(array_to_string(words[i + 1:i + 5], ' ')), 1, 16))))[1:128] END AS sketch
+  FROM split
+), joined AS (
+  SELECT t.doc_id, n_chars, sha256(edited) AS edited_sha256, o.sketch AS own, e.sketch AS other, n.sketch AS following,
+         list_sort(list_distinct(list_concat(o.sketch, e.sketch)))[1:128] AS union_edited,
+         list_sort(list_distinct(list_concat(o.sketch, n.sketch)))[1:128] AS union_next
+  FROM texts t JOIN sketches o ON o.doc_id = t.doc_id AND o.kind = 'own'
+       JOIN sketches e ON e.doc_id = t.doc_id AND e.kind = 'edited' JOIN sketches n ON n.doc_id = t.doc_id AND n.kind = 'next'
+)
+SELECT doc_id, n_chars, edited_sha256, array_to_string(own, '') AS fingerprint, array_to_string(other, '') AS edited_fingerprint,
+       CASE WHEN len(union_edited) = 0 THEN 1.0::DOUBLE
+            ELSE len(list_intersect(list_intersect(own, other), union_edited))::DOUBLE / len(union_edited) END AS near_edited,
+       CASE WHEN len(union_next) = 0 THEN 1.0::DOUBLE
+            ELSE len(list_intersect(list_intersect(own, following), union_next))::DOUBLE / len(union_next) END AS near_next
+FROM joined
+"""
+
 ORACLE: dict[str, str] = {
     "op2_chat_formatting": _CHAT_SQL,
     "op7_quality_rules": _QUALITY_SQL,
+    "op12_document_fingerprints": _FINGERPRINT_SQL,
 }

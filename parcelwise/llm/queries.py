@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, decontaminate, fingerprints, language, main_text, neardup, packing, quality, scoring, substrings, token_counts
+from parcelwise.llm import chat, decontaminate, fingerprints, hard_negatives, language, main_text, neardup, packing, quality, scoring, substrings, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -122,6 +122,16 @@ def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_digests(_table(spark, sf_dir, "documents"))
 
 
+def shifted_negatives(rows: DataFrame) -> DataFrame:
+    """Hard negatives of every hundredth id, where the label of every seventh is off by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shifted_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_chat_formatting": op2_chat_formatting,
@@ -134,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_main_text": op10_main_text,
     "op12_document_fingerprints": op12_document_fingerprints,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _CHAT_SQL = r"""
@@ -224,8 +235,32 @@ SELECT doc_id, n_chars, edited_sha256, array_to_string(own, '') AS fingerprint,
 FROM joined
 """
 
+_NEGATIVES_SQL = r"""
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS vec
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+         list_sum(list_transform(range(1, len(a.vec) + 1), lambda i: a.vec[i] * r.vec[i]))::BIGINT AS score
+  FROM rows a JOIN rows r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+   AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op2_chat_formatting": _CHAT_SQL,
     "op7_quality_rules": _QUALITY_SQL,
     "op12_document_fingerprints": _FINGERPRINT_SQL,
+    "op13_hard_negatives": _NEGATIVES_SQL,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, decontaminate, fingerprints, hard_negatives, language, main_text, neardup, packing, quality, scoring, substrings, token_counts
+from parcelwise.llm import chat, decontaminate, filter_audit, fingerprints, hard_negatives, language, main_text, neardup, packing, quality, scoring, substrings, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,6 +105,11 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masks = filter_audit.masks(_table(spark, sf_dir, "documents"))
+    return filter_audit.orders(filter_audit.count_masks(masks, _table(spark, sf_dir, "labels")))
+
+
 def fingerprint_digests(docs: DataFrame) -> DataFrame:
     sketched = fingerprints.fingerprints(docs)
     return sketched.select(
@@ -143,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_main_text": op10_main_text,
+    "op11_filter_audit": op11_filter_audit,
     "op12_document_fingerprints": op12_document_fingerprints,
     "op13_hard_negatives": op13_hard_negatives,
 }
@@ -199,6 +205,48 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured)
 """
 
+_AUDIT_SQL = r"""
+WITH split AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), marked AS (
+  SELECT doc_id, part,
+         (len(words) < 50)::INTEGER
+         + 2 * (100 * len(list_distinct(words)) < 65 * len(words))::INTEGER
+         + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text))::INTEGER
+         + 8 * regexp_matches(text, '[#$%&*|]')::INTEGER
+         + 16 * coalesce(min(doc_id) OVER (PARTITION BY text) < coalesce(doc_id, 9223372036854775807), false)::INTEGER AS mask
+  FROM split
+), known AS (
+  SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS toxic FROM labels GROUP BY doc_id
+), counts AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM marked LEFT JOIN known USING (doc_id) GROUP BY part, mask
+), letters AS (
+  SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(c, bit)
+), orders AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5
+), steps AS (
+  SELECT filter_order, s::INTEGER AS step, bits[s] AS own, coalesce(list_sum(bits[1:s - 1]), 0)::INTEGER AS before
+  FROM orders, range(1, 6) AS r(s)
+), done AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER ((mask & (own | before)) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER ((mask & own) <> 0 AND (mask & before) = 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER ((mask & own) <> 0 AND (mask & before) <> 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER ((mask & own) <> 0 AND (mask & before) = 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER ((mask & own) <> 0 AND (mask & before) = 0), 0)::BIGINT AS toxic_lost
+  FROM counts, steps GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley
+FROM done
+"""
+
 _FINGERPRINT_SQL = r"""
 WITH ordered AS (
   SELECT doc_id, coalesce(text, '') AS text, row_number() OVER (ORDER BY doc_id DESC) AS place FROM documents
@@ -261,6 +309,7 @@ SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 ORACLE: dict[str, str] = {
     "op2_chat_formatting": _CHAT_SQL,
     "op7_quality_rules": _QUALITY_SQL,
+    "op11_filter_audit": _AUDIT_SQL,
     "op12_document_fingerprints": _FINGERPRINT_SQL,
     "op13_hard_negatives": _NEGATIVES_SQL,
 }

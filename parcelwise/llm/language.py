@@ -10,9 +10,9 @@ mean per scored unit, so it tells how clearly a text speaks, not how long it is.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -20,16 +20,21 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelwise.llm.words import texts, tidy
+
 ORDERS = (4, 3, 2, 1)
 UNKNOWN = "und"
 SAMPLE_ROWS = 2000
 MOST_WORDS = 20_000
 MOST_GRAMS = 5_000
 MOST_LANGUAGES = 200
+#: Different units that a task counts before it passes them on.
+COUNTED = 100_000
 #: Each step from words to n-grams and to shorter n-grams weighs so much less.
 DISCOUNT = 0.6
 
 _WORD = regex.compile(r"[\p{L}\p{M}]*\p{L}[\p{L}\p{M}]*")
+_WORD_OR_END = regex.compile(rf"{_WORD.pattern}|\n")
 
 
 def words_of(text: str) -> list[str]:
@@ -37,54 +42,77 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-@dataclass(frozen=True)
 class Model:
-    languages: tuple[str, ...]
-    #: Units of length 0 (words) and of each order, to their log frequency by language.
-    units: dict[int, dict[str, np.ndarray]]
-    #: For each length, by language: the log frequency of a unit that the language does not have.
-    floors: dict[int, np.ndarray] = field(default_factory=dict)
-
-    def has(self, length: int, unit: str) -> np.ndarray:
-        """Which languages have the unit."""
-        found = self.units[length].get(unit)
-        if found is None:
-            return np.zeros(len(self.languages), bool)
-        return found > self.floors[length] + 1e-9 if length in self.floors else np.ones(len(self.languages), bool)
-
-    def telling_orders(self) -> np.ndarray:
-        """By language: the least order whose grams letters in any order would seldom hit, from the size of its alphabet."""
-        letters = sum((self.has(1, x).astype(float) for x in self.units[1]), np.zeros(len(self.languages)))
-        return np.array([next((n for n in sorted(ORDERS) if x**n > 20 * MOST_GRAMS), max(ORDERS)) for x in letters], int)
-
-    def known_letters(self, word: str, orders: np.ndarray) -> np.ndarray:
-        """By language: how many letters lie in a word, or else in grams of the telling order, that it has."""
-        out = self.has(0, word) * len(word)
-        for order in set(orders.tolist()):
-            covered = np.zeros((len(word), len(self.languages)), bool)
-            for k in range(len(word) - order + 1):
-                covered[k : k + order] |= self.has(order, word[k : k + order])
-            out = np.where((orders == order) & (out == 0), covered.sum(axis=0), out)
-        return out
+    """Units of length 0 (words) and of each order, with their log frequency in the languages that have them.
 
-    def score(self, word: str) -> tuple[np.ndarray, float]:
-        """Weighted log frequencies, and the weight of the units they come from."""
-        known = self.units[0].get(word)
-        if known is not None:
-            return known, 1.0
-        total, weight, at = np.zeros(len(self.languages)), 0.0, 0
+    Only known cells (unit, language) are held, above the floor that a language without the unit has, so the model's
+    size follows what each language knows and not the product of units and languages.
+    """
+
+    def __init__(self, languages: tuple[str, ...], units: dict[int, dict[str, dict[int, float]]], floors: dict[int, np.ndarray] | None = None):
+        """``units``: by length and unit, the log frequency by language's number (a full array will do)."""
+        self.languages = languages
+        self.floors = np.zeros((max(ORDERS) + 1, len(languages)))
+        for length, floor in (floors or {}).items():
+            self.floors[length] = floor
+        self.units: dict[int, dict[str, int]] = {}
+        starts, langs, gains = [0], [], []
+        for length, own in units.items():
+            self.units[length] = {}
+            for unit, values in own.items():
+                self.units[length][unit] = len(starts) - 1
+                for k, value in values.items() if isinstance(values, dict) else enumerate(values):
+                    langs.append(k)
+                    gains.append(value - self.floors[length][k])
+                starts.append(len(langs))
+        self.starts, self.langs, self.gains = np.array(starts), np.array(langs, np.int32), np.array(gains, float)
+
+    def known(self, lang: int, length: int) -> frozenset[str]:
+        """The units of a length that a language has."""
+        rows = set(np.searchsorted(self.starts, np.flatnonzero(self.langs == lang), side="right").tolist())
+        return frozenset(u for u, row in self.units.get(length, {}).items() if row + 1 in rows)
+
+    def telling_order(self, lang: int) -> int:
+        """The least order whose grams letters in any order would seldom hit, from the size of the language's alphabet."""
+        letters = len(self.known(lang, 1))
+        return next((n for n in sorted(ORDERS) if letters**n > 20 * MOST_GRAMS), max(ORDERS))
+
+    def parts(self, word: str) -> Iterator[tuple[int, int, int]]:
+        """(row, length, steps down from words) of the units that a word is scored by."""
+        row = self.units[0].get(word)
+        if row is not None:
+            yield row, 0, 0
+            return
+        at = 0
         while at < len(word):
             for step, order in enumerate(ORDERS, 1):
                 gram = word[at : at + order]
-                found = self.units[order].get(gram) if len(gram) == order else None
-                if found is not None:
-                    total = total + DISCOUNT**step * found
-                    weight += DISCOUNT**step
+                row = self.units[order].get(gram) if len(gram) == order else None
+                if row is not None:
+                    yield row, order, step
                     at += order
                     break
             else:
                 at += 1  # no language has this character
-        return total, weight
+
+    def scores(self, words: list[str], owners: list[int], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Weighted log frequencies by owner and language, summed over the words of each owner, and their weights."""
+        found = [(k, *part) for k, word in zip(owners, words, strict=True) for part in self.parts(word)]
+        if not found:
+            return np.zeros((n, len(self.languages))), np.zeros(n)
+        owner, row, length, step = np.array(found).T
+        weight = DISCOUNT ** step.astype(float)
+        by_length = np.bincount(owner * len(self.floors) + length, weight, n * len(self.floors)).reshape(n, -1)
+        sizes = self.starts[row + 1] - self.starts[row]
+        cells = np.repeat(self.starts[row] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        places = np.repeat(owner, sizes) * len(self.languages) + self.langs[cells]
+        gained = np.bincount(places, np.repeat(weight, sizes) * self.gains[cells], n * len(self.languages))
+        return by_length @ self.floors + gained.reshape(n, -1), by_length.sum(axis=1)
+
+    def score(self, word: str) -> tuple[np.ndarray, float]:
+        """Weighted log frequencies of one word, and the weight of the units they come from."""
+        scores, weights = self.scores([word], [0], 1)
+        return scores[0], float(weights[0])
 
 
 def fit(
@@ -97,19 +125,19 @@ def fit(
     sample_rows: int = SAMPLE_ROWS,
     most_words: int = MOST_WORDS,
     most_grams: int = MOST_GRAMS,
+    most_languages: int = MOST_LANGUAGES,
 ) -> Model:
     """Learns from rows where ``labelled`` holds, language and text are known.
 
     Per language about ``sample_rows`` rows are read, those with the smallest hashes of their ids.
     The model has at most ``most_words`` words and ``most_grams`` n-grams of each order per
-    language, ties by the unit itself, so it is small enough for the driver and for every task.
+    language, ties by the unit itself, and the ``most_languages`` languages with most labelled rows, ties by name:
+    some 20 bytes for each of these at most, and so much on the driver and in every worker.
     """
     rows = docs.select(
         docs[lang_col].alias("lang"), docs[text_col].alias("text"), F.xxhash64(docs[id_col]).alias("draw")
     ).where(labelled & docs[lang_col].isNotNull() & docs[text_col].isNotNull())
-    sizes = dict(rows.groupBy("lang").count().orderBy("lang").limit(MOST_LANGUAGES + 1).collect())
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    sizes = dict(rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect())
     languages = tuple(sorted(sizes))
     if not languages:
         return Model((), {n: {} for n in (0, *ORDERS)})
@@ -138,70 +166,106 @@ def fit(
                     for order in ORDERS:
                         for k in range(len(word) - order + 1):
                             found[lang, order, word[k : k + order]] += n
-                if len(found) > 500_000:
+                if len(found) > COUNTED:
                     yield given()
         if found:
             yield given()
 
-    counted = sample.mapInArrow(count, "lang string, length int, unit string, n long").groupBy("lang", "length", "unit").agg(F.sum("n").alias("n"))
+    counted = sample.mapInArrow(tidy(count), "lang string, length int, unit string, n long").groupBy("lang", "length", "unit").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang", "length").orderBy(F.desc("n"), "unit")
     kept = counted.withColumn("rank", F.row_number().over(best)).where(
         F.col("rank") <= F.when(F.col("length") == 0, most_words).otherwise(most_grams)
     )
     index = {name: k for k, name in enumerate(languages)}
-    counts: dict[int, dict[str, np.ndarray]] = {n: {} for n in (0, *ORDERS)}
-    for lang, length, unit, n in kept.select("lang", "length", "unit", "n").collect():
-        counts[length].setdefault(unit, np.zeros(len(languages)))[index[lang]] = n
-    units, floors = {}, {}
+    counts: dict[int, dict[str, dict[int, float]]] = {n: {} for n in (0, *ORDERS)}
+    totals = {n: np.zeros(len(languages)) for n in counts}
+    for lang, length, unit, n in kept.select("lang", "length", "unit", "n").toLocalIterator():
+        counts[length].setdefault(unit, {})[index[lang]] = n
+        totals[length][index[lang]] += n
+    floors = {}
     for length, own in counts.items():
-        totals = sum(own.values()) if own else np.zeros(len(languages))
-        floors[length] = np.log(0.5 / (totals + 0.5 * (len(own) + 1)))
-        units[length] = {u: np.log((n + 0.5) / (totals + 0.5 * (len(own) + 1))) for u, n in own.items()}
-    return Model(languages, units, floors)
+        all_ = totals[length] + 0.5 * (len(own) + 1)
+        floors[length] = np.log(0.5 / all_)
+        for values in own.values():
+            for k, n in values.items():
+                values[k] = math.log((n + 0.5) / all_[k])
+    return Model(languages, counts, floors)
 
 
 class _Chunks(dict):
-    """What stands between white space, to the row of its scores; starts anew at ``limit`` rows."""
+    """What stands between white space, to the row of its scores; starts anew when its rows are used up."""
 
-    def __init__(self, model: Model, evidence: bool = False, limit: int = 200_000):
+    def __init__(self, model: Model):
         super().__init__()
         self.model = model
-        width = len(model.languages)
-        self.orders = model.telling_orders() if evidence else None
-        self.known = np.zeros((limit if evidence else 0, width + 1), np.float32)  # letters by language, and all letters
-        self.scores = np.zeros((limit, width + 2))  # by language, weight, and whether it has letters
+        width = len(model.languages) + 2
+        self.scores = np.zeros((max(2_000, min(120_000, 1_200_000 // width)), width))  # by language, weight, whether it has letters
+        self.letters: dict[int, _Letters] = {}
 
-    def __missing__(self, chunk: bytes) -> int:
-        row = len(self)
-        words = words_of(chunk.decode())
-        values = self.scores[row]
-        values[:] = 0
-        values[-1] = bool(words)
-        for word in words:
-            scores, weight = self.model.score(word)
-            values[:-2] += scores
-            values[-2] += weight
-        if self.orders is not None:
-            self.known[row] = 0
-            for word in words:
-                self.known[row, :-1] += self.model.known_letters(word, self.orders)
-                self.known[row, -1] += len(word)
-        self[chunk] = row
-        return row
-
-    def total(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Sums of ``scores`` and of ``known``."""
-        chunks = text.split()
-        sums, letters = np.zeros(self.scores.shape[1]), np.zeros(self.known.shape[1])
-        for at in range(0, len(chunks), 50_000):
-            part = chunks[at : at + 50_000]
-            if len(self) + len(part) > len(self.scores):
+    def _learn(self, chunks: list[bytes]) -> None:
+        words, owners, k = [], [], 0
+        for found in _WORD_OR_END.findall(b"\n".join(chunks).decode().lower()):
+            if found == "\n":
+                k += 1
+            else:
+                words.append(found)
+                owners.append(k)
+        begin, n = len(self), len(chunks)
+        scores, weights = self.model.scores(words, owners, n)
+        self.scores[begin : begin + n, :-2] = scores
+        self.scores[begin : begin + n, -2] = weights
+        self.scores[begin : begin + n, -1] = np.bincount(owners, minlength=n) > 0 if owners else 0
+        self.update(zip(chunks, range(begin, begin + n), strict=True))
+
+    def total(self, chunks: list[bytes]) -> np.ndarray:
+        """The sum of the chunks' scores."""
+        sums, most = np.zeros(self.scores.shape[1]), len(self.scores) // 4
+        for at in range(0, len(chunks), most):
+            part = chunks[at : at + most]
+            new = [c for c in set(part) if c not in self]
+            if len(self) + len(new) > len(self.scores):
                 self.clear()
-            rows = list(map(self.__getitem__, part))
-            sums += self.scores[rows].sum(axis=0)
-            if self.orders is not None:
-                letters += self.known[rows].sum(axis=0, dtype=np.float64)
-        return sums, letters
+                new = list(set(part))
+            if new:
+                self._learn(new)
+            sums += self.scores[list(map(self.__getitem__, part))].sum(axis=0)
+        return sums
+
+    def known(self, chunks: list[bytes], lang: int) -> float:
+        """The share of letters that the language knows."""
+        if lang not in self.letters:
+            if len(self.letters) >= 4:  # tables of so many languages at once
+                self.letters.clear()
+            self.letters[lang] = _Letters(self.model, lang)
+        both = sum(map(self.letters[lang].__getitem__, chunks))
+        return (both >> 40) / max(1, both & ((1 << 40) - 1))
+
+
+class _Letters(dict):
+    """What stands between white space, to its letters and (from bit 40 on) those that lie in a word, or else in a gram
+    of the telling order, that the language has."""
+
+    def __init__(self, model: Model, lang: int, limit: int = 30_000):
+        super().__init__()
+        self.limit, self.order = limit, model.telling_order(lang)
+        self.words, self.grams = model.known(lang, 0), model.known(lang, self.order)
+
+    def __missing__(self, chunk: bytes) -> int:
+        if len(self) >= self.limit:
+            self.clear()
+        known = letters = 0
+        for word in words_of(chunk.decode()):
+            letters += len(word)
+            if word in self.words:
+                known += len(word)
+                continue
+            covered = 0
+            for k in range(len(word) - self.order + 1):
+                if word[k : k + self.order] in self.grams:
+                    known += k + self.order - max(covered, k)
+                    covered = k + self.order
+        value = self[chunk] = known << 40 | letters
+        return value
 
 
 def predict(docs: DataFrame, model: Model, *, evidence: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -219,12 +283,12 @@ def predict(docs: DataFrame, model: Model, *, evidence: bool = False, id_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learned = shared.value
-        chunks = _Chunks(learned, evidence)
+        table = _Chunks(learned)
         for batch in batches:
             names, scores, known = [], [], []
-            for value in batch.column(1):
-                text = value.as_py()
-                sums, letters = chunks.total(text.encode()) if text and learned.languages else (None, None)
+            for text in texts(batch):
+                chunks = text.split() if text else []
+                sums = table.total(chunks) if chunks and learned.languages else None
                 if sums is None or not sums[-1]:
                     names.append(UNKNOWN)
                     scores.append(0.0)
@@ -235,10 +299,10 @@ def predict(docs: DataFrame, model: Model, *, evidence: bool = False, id_col: st
                 best = int(np.argmax(sums[:-2]))
                 names.append(learned.languages[best])
                 scores.append(float(share[best] / share.sum()))
-                known.append(float(letters[best] / letters[-1]) if evidence else 0.0)
+                known.append(table.known(chunks, best) if evidence else 0.0)
             columns = {"doc_id": batch.column(0), "lang_pred": pa.array(names, pa.string()), "score": pa.array(scores, pa.float64())}
             if evidence:
                 columns["known"] = pa.array(known, pa.float64())
             yield pa.record_batch(list(columns.values()), names=list(columns))
 
-    return narrow.mapInArrow(run, f"doc_id {id_type}, lang_pred string, score double" + ", known double" * evidence)
+    return narrow.mapInArrow(tidy(run), f"doc_id {id_type}, lang_pred string, score double" + ", known double" * evidence)

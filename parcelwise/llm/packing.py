@@ -19,11 +19,13 @@ padded for being the end. Nothing is shuffled; the sequence number holds the par
 from __future__ import annotations
 
 import re
-import struct
+import sys
+from array import array
 from bisect import bisect_right
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from operator import attrgetter
 
 import numpy as np
 import public_tokenizers
@@ -31,6 +33,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from parcelwise.llm.words import tidy
+from parcelwise.llm.words import texts as texts_of
+
 TOKENIZER = "word_bpe_49k.json"
 BLOCK_TOKENS = 1 << 18
 OUTPUT_BYTES = 4 << 20
@@ -90,6 +95,10 @@ class WordIds(dict):
         return value
 
     def _encode(self, word: bytes) -> bytes:
+        if word.isalpha():  # ASCII letters only, which are the same in every alphabet here
+            return _packed(map(_id_of, self.model.tokenize(word.decode()))) if word.islower() else self[word.lower()]
+        if word[-1] in _MARKS and word[:-1].isalpha():
+            return self[word[:-1].lower()] + self[word[-1:]]
         text = word.decode()
         plain = self._PLAIN.fullmatch(text)
         if not plain:
@@ -97,11 +106,18 @@ class WordIds(dict):
         if plain[2] or text != text.lower():
             return self[plain[1].lower().encode()] + (self[plain[2].encode()] if plain[2] else b"")
         seen = word.decode("latin-1").translate(self.characters)
-        return _packed([t.id for t in self.model.tokenize(seen)])
+        return _packed(map(_id_of, self.model.tokenize(seen)))
+
+
+_id_of = attrgetter("id")
+_MARKS = b".,;:!?"
 
 
-def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+def _packed(ids: Iterable[int]) -> bytes:
+    numbers = array("I", ids)
+    if sys.byteorder != "little":
+        numbers.byteswap()
+    return numbers.tobytes()
 
 
 @lru_cache(maxsize=1)
@@ -265,8 +281,8 @@ def pack(
 
         for batch in batches:
             kind = batch.schema.field(0).type
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                own = (text.as_py() or "").encode().split()
+            for doc_id, text in zip(batch.column(0), texts_of(batch)):
+                own = text.split() if text else []
                 stream.add(doc_id.as_py(), b"".join(map(words.__getitem__, own)) + end)
                 if stream.held >= block_tokens:
                     yield from given(last=False)
@@ -274,6 +290,6 @@ def pack(
             yield from given(last=True)
 
     return narrow.mapInArrow(
-        run,
+        tidy(run),
         f"doc_id {id_type}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long",
     )

@@ -14,7 +14,7 @@ library = Tokenizer.from_file(PATH)
 words = WordIds(PATH, limit=50)
 
 
-PARTS = [*"aBé ßÀİΣς.,!?'\n\t\u3000\x1cćs<>|_1½µ漢🙂", "<|endoftext|>", "don't ", "WORD. "]
+PARTS = ["Zebra.", "street;", "stop!?", "x.y", "ẞig", *"aBé ßÀİΣς.,!?'\n\t\u3000\x1cćs<>|_1½µ漢🙂", "<|endoftext|>", "don't ", "WORD. "]
 
 
 @settings(max_examples=400, deadline=None)

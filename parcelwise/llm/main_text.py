@@ -36,6 +36,14 @@ BLOCKS = frozenset(
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 DROPPED = frozenset("head noscript template svg math select button object canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: What a head may hold, the foreign elements, what ends them, and the places in them where html goes on.
+HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template".split())
+FOREIGN = frozenset("svg math".split())
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small"
+    " span strong strike sub sup table tt u ul var".split()
+)
+HTML_INSIDE = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 CLOSES_P = BLOCKS - {"body", "html", "li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "legend", "summary"}
 GOOD_WORDS = frozenset("article body content entry main post story text blog hentry page prose single".split())
 BAD_WORDS = frozenset(
@@ -115,11 +123,31 @@ def read(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 return None
         return None
 
+    def foreign() -> int | None:
+        """Where in ``hidden`` the foreign element begins that html would end now."""
+        for k in range(len(hidden) - 1, -1, -1):
+            if hidden[k] in HTML_INSIDE:
+                return None
+            if hidden[k] in FOREIGN:
+                return k
+        return None
+
+    def never_closed(tag: str) -> bool:
+        """No end tag follows: such an element ends with the next block."""
+        if tag not in last_end:
+            if not last_end:
+                last_end[""] = page.lower()
+            last_end[tag] = last_end[""].rfind("</" + tag)
+        return last_end[tag] < at
+
+    last_end: dict = {}
     for match in _TOKEN.finditer(page):
         if match.start() < at:
             continue  # inside a raw element
         text = page[at : match.start()]
         at = match.end()
+        if hidden == ["head"] and text.strip():
+            hidden.clear()
         if text and not hidden:
             held.append(text)
             if state["link"]:
@@ -132,18 +160,28 @@ def read(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             end = re.compile(rf"</{tag}[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
             at = end.end() if end else size
             continue
+        closed = match[3].rstrip().endswith("/") and tag in FOREIGN
         if hidden:
             if closing and tag in hidden:
                 while hidden.pop() != tag:
                     pass
-            elif not closing and tag in DROPPED:
-                hidden.append(tag)
-            elif not closing and tag == "body":
-                hidden.clear()
-            if hidden or tag in DROPPED:
+                continue
+            if not closing and tag in ENDS_FOREIGN and (k := foreign()) is not None:
+                del hidden[k:]
+            elif closing:
+                if tag not in BLOCKS or innermost(frozenset([tag])) is None:
+                    continue
+                hidden.clear()  # the end of what the dropped element stands in
+            if hidden and not closing:
+                if tag == "body" or hidden == ["head"] and tag not in HEAD or never_closed(hidden[0]) and tag in BLOCKS:
+                    hidden.clear()
+            if hidden:
+                again = tag == hidden[-1] and tag in ("button", "select")  # the second one ends the first
+                if (tag in BLOCKS or tag in DROPPED or tag in HTML_INSIDE) and tag != "hr" and not closed and not again:
+                    hidden.append(tag)
                 continue
         if tag in DROPPED:
-            if not closing:
+            if not closing and not closed:
                 hidden.append(tag)
             continue
         if tag == "a":
@@ -298,17 +336,42 @@ def derived(page: str, rng: random.Random) -> str | None:
     return f"<html><body>{body}</body></html>"
 
 
-def fit(pages: DataFrame, *, html_col: str = "html", sample_pages: int = SAMPLE_PAGES, variants: int = VARIANTS, seed: int = 1) -> Trees:
+def likely(page: str) -> str:
+    """A page whose article is made of the longer blocks of ``page``: what to learn from where nothing marks one."""
+    _, segments = read(page)
+    long = [text for _, text in segments if len(text) >= 80] or [text for _, text in segments]
+    return "<article>" + "".join(f"<p>{html.escape(text)}</p>" for text in long) + "</article>" if long else ""
+
+
+def fit(
+    pages: DataFrame,
+    *,
+    html_col: str = "html",
+    sample_pages: int = SAMPLE_PAGES,
+    sample_chars: int = SAMPLE_CHARS,
+    variants: int = VARIANTS,
+    seed: int = 1,
+) -> Trees:
     """Learns from ``sample_pages`` different pages at most, those with the smallest hashes among pages with an
-    article and up to ``SAMPLE_CHARS`` characters. Without any such page nothing is learned, and no text is found.
+    article and up to ``sample_chars`` characters. Where there is no such page, from a tenth as many longer ones with
+    an article, the shortest first; where none marks an article, from pages without, whose longer blocks are taken for one.
 
     The hashes are looked up first, so that tasks send no pages but the chosen ones."""
-    marked = pages.select(pages[html_col].alias("html"), F.xxhash64(pages[html_col]).alias("draw")).where(
-        F.col("html").contains("<article") & (F.char_length("html") <= SAMPLE_CHARS)
-    )
-    draws = [r["draw"] for r in marked.select("draw").distinct().orderBy("draw").limit(sample_pages).collect()]
-    chosen = marked.where(F.col("draw") <= (draws[-1] if draws else 0)).groupBy("draw").agg(F.min("html").alias("html"))
+    size = F.char_length("html")
+    # 0 and 1: with an article, short and long; 2 and 3: without.
+    tier = F.when(F.col("html").rlike("(?i)<article"), 0).otherwise(2) + F.when(size <= sample_chars, 0).otherwise(1)
+    drawn = pages.select(pages[html_col].alias("html")).where(size > 0)
+    drawn = drawn.select("html", F.xxhash64("html").alias("draw"), tier.alias("tier"))
+    long_first = F.when(F.col("tier") % 2 == 1, F.col("size"))
+    listed = drawn.select("tier", "draw", size.alias("size")).distinct().orderBy("tier", long_first, "draw").limit(sample_pages).collect()
+    listed = [r for r in listed if r["tier"] == listed[0]["tier"]]
+    if listed and listed[0]["tier"] % 2:
+        listed = listed[: max(1, sample_pages // 10)]
+    draws = [r["draw"] for r in listed]
+    chosen = drawn.where(F.col("draw").isin(draws)).groupBy("draw").agg(F.min("html").alias("html")) if draws else drawn.limit(0)
     sample = [r["html"] for r in sorted(chosen.limit(sample_pages).collect(), key=lambda r: r["draw"])]
+    if listed and listed[0]["tier"] >= 2:
+        sample = [likely(page) for page in sample]
     rng = random.Random(seed)
     xs, ys = [], []
     for page in sample:

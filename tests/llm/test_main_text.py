@@ -1,5 +1,6 @@
 import random
 import re
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -41,6 +42,102 @@ def test_reading_blocks():
     assert read("")[1] == [] and read("a < b > c &am")[1] == [(0, "a < b > c &am")]
 
 
+def everything(page):
+    return lines(page, lambda nodes, k: True)
+
+
+def test_dropped_elements_end_where_html_ends_them():
+    assert everything("<article><p>a <svg/>b</p><p>c</p></article>") == ["a b", "c"]
+    assert everything("<p>a<svg><path d='x'/><g>no</g></svg>b<p>c") == ["ab", "c"]
+    assert everything("<head><title>t</title><meta x><p>a</p><p>b</p>") == ["a", "b"]
+    assert everything("<html><head><link>words <b>here</b>") == ["words here"]
+    assert everything("<head><script>x</script></head><body>a</body>") == ["a"]
+    for tag in ("button", "select", "math", "svg", "noscript", "object"):
+        assert everything(f"<div>a<{tag}>no</div><p>b</p>") == ["a", "b"], tag
+        assert everything(f"<div>a</div><{tag}>no<p>b</p>c") == ["a", "b", "c"], tag
+        assert everything(f"<div>a<{tag}>no</{tag}>b</div><p>c") == ["ab", "c"], tag
+    for tag in ("button", "noscript", "template", "object"):
+        assert everything(f"<div>a<{tag}><div>no</div><p>no</{tag}>b</div><p>c") == ["ab", "c"], tag
+    assert everything("<div><svg><foreignObject><div>no</div></foreignObject></svg>b</div>") == ["b"]
+    assert everything("<div><button>x<button>y</button>b</div>") == ["b"]
+    assert everything("<div>a<svg><g><p>b</p></div>c") == ["a", "b", "c"]
+
+
+class Independent(HTMLParser):
+    """Text by block of a page without errors, by the parser of the standard library."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.held, self.hidden = [], "", 0
+
+    def flush(self):
+        text = re.sub(r"\s+", " ", self.held).strip()
+        self.held = ""
+        if text:
+            self.out.append(text)
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden += tag in HIDDEN
+        if tag in main_text.BLOCKS and not self.hidden:
+            self.flush()
+        if tag == "br" and not self.hidden:
+            self.held += " "
+
+    def handle_startendtag(self, tag, attrs):
+        if tag not in HIDDEN:
+            self.handle_starttag(tag, attrs)
+
+    def handle_endtag(self, tag):
+        if tag in main_text.BLOCKS and not self.hidden:
+            self.flush()
+        self.hidden -= tag in HIDDEN
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.held += data
+
+
+HIDDEN = ("svg", "button", "select", "noscript", "script", "style", "head")
+
+
+def random_page(rng, depth=0):
+    made = []
+    for _ in range(rng.randint(1, 4)):
+        kind = rng.random()
+        if kind < 0.45 or depth > 3:
+            made.append(rng.choice(["plain words ", "a &amp; b &lt;c&gt; &eacute;", "<b>bold</b> <i class='x>y'>it</i>", "one<br>two", "<svg/>", "<!-- no <p> -->", "<img src=x>"]))
+        elif kind < 0.6:
+            tag = rng.choice(["svg", "button", "select", "noscript", "script", "style"])
+            made.append(f"<{tag} a='1'>{'hidden words ' if tag != 'svg' else '<g>hidden</g>'}</{tag}>")
+        else:
+            tag = rng.choice(["div", "section", "article", "ul", "table", "blockquote"])
+            made.append(f"<{tag} class='k'>{random_page(rng, depth + 1)}</{tag}>")
+    return "".join(made)
+
+
+def test_same_text_as_an_independent_parser():
+    rng = random.Random(11)
+    for _ in range(300):
+        page = f"<html><head><title>t</title><style>p{{}}</style></head><body>{random_page(rng)}</body></html>"
+        parser = Independent()
+        parser.feed(page)
+        parser.close()
+        parser.flush()
+        assert everything(page) == parser.out, page
+
+
+def test_learning_without_marked_or_short_articles(spark):
+    """Pages in capitals, all long, or without an article teach something too, and no page is left empty."""
+    para = "This is a paragraph of the text that readers come for, long enough to be one. It has two sentences. "
+    menu = "<ul>" + "".join(f"<li><a href='#'>Link {k}</a></li>" for k in range(8)) + "</ul>"
+    page = lambda k, tag, n: f"<html><body><div class='menu'>{menu}</div><{tag}>" + f"<p>{k} {para * 3}</p>" * n + f"</{tag}><div class='footer'>&copy; {k}</div></body></html>"
+    for tag, n in (("ARTICLE", 3), ("article", 90), ("div", 4)):
+        pages = spark.createDataFrame([(k, "u", page(k, tag, n)) for k in range(30)], "page_id long, url string, html string")
+        got = extract(pages, fit(pages)).collect()
+        assert all(r["text"].count(para.strip()[:40]) == 3 * n for r in got), tag
+        assert not any("Link" in r["text"] for r in got), tag
+
+
 def test_decoding_is_best_and_consistent():
     rng = np.random.default_rng(0)
     page = "<div>a<div>b<p>c</div><p>d</div><p>e"

@@ -1,6 +1,10 @@
-"""Repeated passages: what an earlier place of the corpus has already goes, all but the earliest occurrence.
+"""Repeated lines, paragraphs and passages: what an earlier place of the corpus has already goes, all but the earliest occurrence.
 
-The default ``unit="passage"`` looks at every run of ``min_words`` words, wherever it begins or ends: a word goes where
+Lines and paragraphs are normalised (white space, A-Z) and hashed, those of less than ``min_words`` words together with the
+lines after them; equal digests are grouped over the corpus. A unit depends only on the text from its start on, and is found as a
+whole or not at all (sentences can be units too). What is repeated inside of units, or across them, is left to ``passage``.
+
+``passage`` looks at every run of ``min_words`` words, wherever it begins or ends: a word goes where
 such a run around it stands earlier. Posting every run would cost a row a word, so texts are cut by content first.
 The runs of a text that share their least short word window (``f``; the rightmost of equals) are a stretch, and
 a stretch is posted as (``f``, digest of its words ``g``). Equal runs have equal ``f``, so
@@ -9,9 +13,6 @@ a stretch is posted as (``f``, digest of its words ``g``). Equal runs have equal
 * only where one ``f`` has several ``g`` can stretches share some runs and not others: there the first text of
   each (f, g) posts its runs one by one. So a passage is followed word by word to its ends, and only there.
 
-The other units are lines, paragraphs and sentences, extended by those after it until they have ``min_words`` words;
-a unit depends only on the text from its start on and is found as a whole or not at all.
-
 Occurrences rank by id, then by place. Within a text later occurrences are known at once. Between texts the least id of
 each digest is found by an aggregate with map-side combine; only digests of several texts are joined back. No
 group is collected: a digest that a third of all texts has is one row.
@@ -21,17 +22,18 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelwise.llm.neardup import Work
-from parcelwise.llm.words import mixed, windows
+from parcelwise.llm.words import mixed, tidy, windows
 
 MIN_WORDS = 25
+UNITS = ("line", "paragraph", "passage")
 #: Base of the rolling hashes, odd so that it has an inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C17
 _SPACES = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
@@ -101,7 +103,7 @@ def _text_units(docs: DataFrame, unit: str, min_words: int) -> DataFrame:
                     names=["doc_id", "h1", "h2", "start", "end", "again"],
                 )
 
-    return docs.mapInArrow(run, f"doc_id {kind}, h1 long, h2 long, start int, end int, again boolean")
+    return docs.mapInArrow(tidy(run), f"doc_id {kind}, h1 long, h2 long, start int, end int, again boolean")
 
 
 @cache
@@ -184,7 +186,7 @@ def _text_stretches(docs: DataFrame, min_words: int) -> DataFrame:
                     names=["doc_id", "t", "f", "g", "start", "end", "again"],
                 )
 
-    return docs.select("doc_id", "text", "t").mapInArrow(run, f"doc_id {kind}, t long, f long, g long, start int, end int, again boolean")
+    return docs.select("doc_id", "text", "t").mapInArrow(tidy(run), f"doc_id {kind}, t long, f long, g long, start int, end int, again boolean")
 
 
 def _stretch_runs(docs: DataFrame, min_words: int) -> DataFrame:
@@ -217,7 +219,7 @@ def _stretch_runs(docs: DataFrame, min_words: int) -> DataFrame:
                     names=["doc_id", "f", "g", "h", "start", "end", "again"],
                 )
 
-    return docs.select("doc_id", "text", "own").mapInArrow(run, f"doc_id {kind}, f long, g long, h long, start int, end int, again boolean")
+    return docs.select("doc_id", "text", "own").mapInArrow(tidy(run), f"doc_id {kind}, f long, g long, h long, start int, end int, again boolean")
 
 
 def _passages(work: Work, docs: DataFrame, min_words: int) -> DataFrame:
@@ -261,7 +263,7 @@ def _whole_units(work: Work, docs: DataFrame, unit: str, min_words: int) -> Data
 def repeated_spans(
     docs: DataFrame,
     *,
-    unit: str = "passage",
+    unit: str | tuple[str, ...] = UNITS,
     min_words: int = MIN_WORDS,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -275,46 +277,37 @@ def repeated_spans(
     """
     work = Work(docs.sparkSession)
     narrow = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    later = _passages(work, narrow, min_words) if unit == "passage" else _whole_units(work, narrow, unit, min_words)
-    # The spans of one text: as many as it has words or units at most.
-    spans = later.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "end", "first_doc_id"))).alias("s"))
-    merged = F.aggregate(
-        "s",
-        F.slice("s", 1, 0),
-        lambda done, x: F.when(
-            (F.size(done) > 0) & (x["start"] <= F.element_at(done, -1)["end"] + 1),
-            F.concat(
-                F.slice(done, F.lit(1), F.size(done) - 1),
-                F.array(
-                    F.struct(
-                        F.element_at(done, -1)["start"].alias("start"),
-                        F.greatest(F.element_at(done, -1)["end"], x["end"]).alias("end"),
-                        F.least(F.element_at(done, -1)["first_doc_id"], x["first_doc_id"]).alias("first_doc_id"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(done, F.array(x))),
-    )
-    return spans.select("doc_id", F.explode(merged).alias("x")).select(
-        "doc_id", F.col("x.start").cast("long").alias("start"), F.col("x.end").cast("long").alias("end"), F.col("x.first_doc_id").alias("first_doc_id")
-    )
+    kinds = (unit,) if isinstance(unit, str) else unit
+    later = [_passages(work, narrow, min_words) if kind == "passage" else _whole_units(work, narrow, kind, min_words) for kind in kinds]
+    later = reduce(DataFrame.unionByName, later)
+    # Spans that overlap or touch become one: a new one begins behind all ends before it.
+    in_order = Window.partitionBy("doc_id").orderBy("start", "end")
+    behind = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(behind.isNull() | (F.col("start") > behind + 1), 1).otherwise(0)
+    numbered = later.withColumn("_begins", begins)
+    numbered = numbered.withColumn("_span", F.sum("_begins").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    merged = numbered.groupBy("doc_id", "_span").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("first_doc_id").alias("first_doc_id"))
+    return merged.select("doc_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "first_doc_id")
 
 
 def remove_spans(docs: DataFrame, spans: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the spans cut out of the text, and ``kept_spans``: the (start, end) of what stays.
 
-    All rows and columns stay; a text without spans is unchanged. What stays is joined as it is.
+    All rows and columns stay; a text without spans is unchanged. What stays is joined as it is. A column of the
+    documents that is called ``kept_spans`` already stays, and there is no other.
     """
-    if "kept_spans" in docs.columns:
-        raise ValueError("the documents have a column kept_spans already")
-    by_doc = spans.groupBy(F.col("doc_id").alias("_doc")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
-    joined = docs.join(by_doc, docs[id_col] == by_doc["_doc"], "left")
+    taken = {c.lower() for c in docs.columns}
+    free = lambda name: name if name not in taken else free("_" + name)
+    doc, cut_at = free("_doc"), free("_cuts")
+    by_doc = spans.groupBy(F.col("doc_id").alias(doc)).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(cut_at))
+    joined = docs.join(by_doc, docs[id_col] == by_doc[doc], "left")
     text = docs[text_col]
-    cuts = F.coalesce("_cuts", F.array().cast("array<struct<start:bigint,end:bigint>>"))
+    cuts = F.coalesce(cut_at, F.array().cast("array<struct<start:bigint,end:bigint>>"))
     starts = F.concat(F.array(F.lit(0).cast("long")), F.transform(cuts, lambda x: x["end"]))
     ends = F.concat(F.transform(cuts, lambda x: x["start"]), F.array(F.char_length(text).cast("long")))
     kept = F.filter(F.arrays_zip(starts.alias("start"), ends.alias("end")), lambda x: x["start"] < x["end"])
     piece = lambda x: F.substring(text, (x["start"] + 1).cast("int"), (x["end"] - x["start"]).cast("int"))
-    cut = F.when(F.col("_cuts").isNull(), text).otherwise(F.array_join(F.transform(kept, piece), ""))
+    cut = F.when(F.col(cut_at).isNull(), text).otherwise(F.array_join(F.transform(kept, piece), ""))
     others = [docs[c] if c != text_col else cut.alias(c) for c in docs.columns]
-    return joined.select(*others, F.when(text.isNotNull(), kept).alias("kept_spans"))
+    report = [] if "kept_spans" in taken else [F.when(text.isNotNull(), kept).alias("kept_spans")]
+    return joined.select(*others, *report)

@@ -117,13 +117,34 @@ def test_passages_match_brute_force_over_all_runs(spark, min_words):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     want = brute_runs(rows, min_words)
     texts, got = dict(rows), {}
-    for r in repeated_spans(docs, min_words=min_words).collect():
+    alone = repeated_spans(docs, unit="passage", min_words=min_words).collect()
+    all_units = repeated_spans(docs, min_words=min_words).collect()
+    assert sorted(map(tuple, alone)) == sorted(map(tuple, all_units))  # whole lines and paragraphs are runs too
+    for r in all_units:
         inside = {p: f for p, f in want[r["doc_id"]].items() if r["start"] <= p[0] and p[1] <= r["end"]}
         assert r["first_doc_id"] == min(set().union(*inside.values()))
         got.setdefault(r["doc_id"], set()).update(k for k in range(r["start"], r["end"]) if texts[r["doc_id"]][k] not in " \n")
     assert got == {i: {k for a, b in own for k in range(a, b)} for i, own in want.items()}
 
 
+def test_clashing_names(spark):
+    text = " ".join(f"word{k}" for k in range(40))
+    docs = spark.createDataFrame([(1, text, "a", 1, 2, 3, 4), (2, "so " + text, "b", 1, 2, 3, 4)], "doc_id long, text string, kept_spans string, _cuts int, _doc int, start int, _span int")
+    cleaned = remove_spans(docs, repeated_spans(docs))
+    assert cleaned.columns == docs.columns
+    assert sorted(tuple(r) for r in cleaned.collect()) == [(1, text, "a", 1, 2, 3, 4), (2, "so ", "b", 1, 2, 3, 4)]
+
+
+def test_many_spans_in_a_long_text(spark):
+    """Thousands of separate spans in one text are put together in one pass over them."""
+    rng = random.Random(3)
+    passages = [" ".join(f"p{n}x{k}" for k in range(6)) for n in range(4000)]
+    long = " ".join(f"{p} own{rng.random()}" for p in passages)
+    docs = spark.createDataFrame([(1, " zz ".join(passages)), (2, long)], "doc_id long, text string")
+    spans = repeated_spans(docs, unit="passage", min_words=6).collect()
+    assert len(spans) == 4000 and all(long[r["start"] : r["end"]] in set(passages) for r in spans[:50])
+
+
 def test_passage_in_mid_sentence_without_marks(spark):
     passage = " ".join(f"word{k}" for k in range(60))
     docs = spark.createDataFrame([(1, "Some first words " + passage + " and on."), (2, "Other ones before " + passage + " then more words | and | on")], "doc_id long, text string")

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelwise.llm.words import tidy
+
 ERROR_RATE = 0.05
 BLOCK_CHARS = 4_000_000
 
@@ -203,6 +205,6 @@ def find_items(
                         [pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "item_id", "start", "end", "distance"]
                     )
 
-        return narrow.mapInArrow(run, schema)
+        return narrow.mapInArrow(tidy(run), schema)
 
     return reduce(DataFrame.unionByName, [of_block(k) for k in range(blocks)])

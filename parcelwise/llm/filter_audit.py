@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelwise.llm.words import texts as texts_of
+from parcelwise.llm.words import tidy
 from parcelwise.sources.scratch import scratch_folder, written
 
 #: Bytes of distinct texts in a task's trie before it is written out.
@@ -286,13 +287,13 @@ def masks(
         docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[part_col], F.lit("")).alias("part"), docs[text_col].alias("text")
     )
     schema = "doc_id long, part string, mask int, copies long"
-    sifted = written(narrow.mapInArrow(_sift(rules, again, trie_bytes), f"{schema}, text string"), scratch_folder(spark))
+    sifted = written(narrow.mapInArrow(tidy(_sift(rules, again, trie_bytes)), f"{schema}, text string"), scratch_folder(spark))
     open_ = sifted.where("text IS NOT NULL")
     total = open_.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     ranges = min(MOST_RANGES, math.ceil(total / RANGE_BYTES)) or 1
     keyed = _with_prefixes(open_, total, cell_bytes).select("doc_id", "part", "mask", "copies", "key", "text")
     sorted_ = keyed.repartitionByRange(ranges, "key").sortWithinPartitions("key")
-    settled = sorted_.mapInArrow(_settle_cells(again), schema)
+    settled = sorted_.mapInArrow(tidy(_settle_cells(again)), schema)
     return settled.unionByName(sifted.where("text IS NULL").drop("text"))
 
 

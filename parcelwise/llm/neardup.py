@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelwise.llm.words import WordHashes, mixed, windows
+from parcelwise.llm.words import WordHashes, mixed, tidy, windows
 from parcelwise.sources.scratch import scratch_folder, written
 
 COORDINATES = 64
@@ -98,7 +98,7 @@ def sketch(docs: DataFrame, words: int, coordinates: int, id_col: str, text_col:
                     names=["doc_id", "n_shingles", "h1", "h2", "signature"],
                 )
 
-    return narrow.mapInArrow(run, f"doc_id {id_type}, n_shingles long, h1 long, h2 long, signature array<long>")
+    return narrow.mapInArrow(tidy(run), f"doc_id {id_type}, n_shingles long, h1 long, h2 long, signature array<long>")
 
 
 def _full_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -113,7 +113,7 @@ def _full_sets(docs: DataFrame, words: int) -> DataFrame:
                 yield pa.record_batch([part.column(0), pa.array(sets, pa.binary())], names=["class", "full"])
 
     kind = docs.schema["class"].dataType.simpleString()
-    return docs.select("class", "text").mapInArrow(run, f"class {kind}, full binary")
+    return docs.select("class", "text").mapInArrow(tidy(run), f"class {kind}, full binary")
 
 
 def _similar(x: np.ndarray, y: np.ndarray, per_cent: int) -> bool:
@@ -383,7 +383,7 @@ def _hub_links(rows: DataFrame, similarity: float, block: int) -> DataFrame:
     others = rows.where("class <> family").select(
         F.col("family").alias("a"), F.col("class").alias("b"), F.col("full").alias("y"), F.pmod(F.xxhash64("class"), salts).alias("salt")
     )
-    return others.join(hubs, ["a", "salt"]).select("a", "b", "x", "y").mapInArrow(run, f"a {kind}, b {kind}")
+    return others.join(hubs, ["a", "salt"]).select("a", "b", "x", "y").mapInArrow(tidy(run), f"a {kind}, b {kind}")
 
 
 def _with_matches(star: DataFrame, least: int) -> DataFrame:
@@ -397,4 +397,4 @@ def _with_matches(star: DataFrame, least: int) -> DataFrame:
             good = pa.array(matches >= least)
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(matches)], names=["a", "b", "matches"]).filter(good)
 
-    return star.select("hub", "class", "hub_prints", "prints").mapInArrow(run, f"a {kind}, b {kind}, matches int")
+    return star.select("hub", "class", "hub_prints", "prints").mapInArrow(tidy(run), f"a {kind}, b {kind}, matches int")

@@ -6,7 +6,10 @@ changes exactly A-Z, so both give ``[^\\x20\\x09-\\x0D]+`` without a regular exp
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +21,7 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 class WordHashes(dict):
     """Word to 64-bit hash; starts anew when it holds ``limit`` words, so memory is bounded."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
         self.limit = limit
 
@@ -55,3 +58,16 @@ def texts(batch: pa.RecordBatch, column: int = 1) -> Iterator[bytes | None]:
     values = batch.column(column).cast(pa.large_binary())
     for value in values:
         yield value.as_py()
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run``, and what memory it leaves free goes back to the system: Python workers outlive their tasks."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return tidied

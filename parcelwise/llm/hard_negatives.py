@@ -32,7 +32,7 @@ PACKED = 2048
 def whole(vectors: np.ndarray, scale: int) -> np.ndarray:
     """``floor(scale * x)``, as 64-bit integers where these hold it, as Python integers otherwise."""
     floored = np.floor(vectors.astype(np.float64) * scale)
-    if floored.size == 0 or np.abs(floored).max() < 2**62:
+    if floored.size == 0 or np.abs(floored).max() < 2**61:
         return floored.astype(np.int64)
     return np.array([[int(x) for x in row] for row in floored], object).reshape(floored.shape)
 
@@ -47,7 +47,7 @@ class Packed:
         bits = max(1, self.size * greatest[0] * greatest[1]).bit_length()
         bits = max(bits, greatest[0].bit_length())
         self.width = 4 if bits <= 32 else 8 * ((bits + 2) // 64 + 1)
-        lifted = rows + self.bias
+        lifted = (rows if self.width <= 8 else rows.astype(object)) + self.bias
         self.sums = lifted.sum(axis=1)
         self.packed = [self._pack(lifted[:, d]) for d in range(self.size)]
 
@@ -68,7 +68,7 @@ class Packed:
             w = self.width
             found = np.array([int.from_bytes(fields[i : i + w], "little") for i in range(0, w * self.n, w)] + [0], object)[:-1]
         rest = self.bias * sum(lifted) - self.size * self.anchor_bias * self.bias
-        out = found - self.anchor_bias * (self.sums if self.width <= 8 else self.sums.astype(object)) - rest
+        out = found - self.anchor_bias * self.sums - rest
         if out.dtype == object and max(map(abs, out), default=0) < 2**63:
             return out.astype(np.int64)
         return out
@@ -194,7 +194,9 @@ def mine(
     run = lambda first: _meet(scale, positives, negatives, low, high, first)
     anchors = once.where(is_anchor)
     near = _cells(once, anchors, ["label", "size"]).select("size", "label", "_block", "_stripe", "is_anchor", "vec_id", "vector")
-    found = near.groupBy("label", "size", "_block", "_stripe").applyInArrow(
+    # Cells are few bytes and much work: they are dealt to as many tasks as a shuffle has, and stay apart.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = near.repartition(tasks, "label", "size", "_block", "_stripe").groupBy("label", "size", "_block", "_stripe").applyInArrow(
         run(True), "anchor_id long, positive_id long, positive_score long"
     )
     order = Window.partitionBy("anchor_id").orderBy(F.desc("positive_score"), "positive_id")
@@ -203,7 +205,7 @@ def mine(
     listed = written(listed, scratch_folder(spark)).withColumnRenamed("anchor_id", "vec_id")
 
     far = _cells(once, anchors.join(listed, "vec_id"), ["size"])
-    found = far.groupBy("size", "_block", "_stripe").applyInArrow(
+    found = far.repartition(tasks, "size", "_block", "_stripe").groupBy("size", "_block", "_stripe").applyInArrow(
         run(False), "anchor_id long, positive_id long, positive_score long, negative_id long, negative_score long"
     )
     order = Window.partitionBy("anchor_id", "positive_id").orderBy(F.desc("negative_score"), "negative_id")

@@ -35,6 +35,7 @@ from parcelwise.sources.scratch import scratch_folder, written
 TRIE_BYTES = 32 << 20
 #: Bytes of texts that may share a prefix, and prefixes that may be lengthened at a time (their hashes are broadcast).
 CELL_BYTES = 32 << 20
+LEAST_CELL = 1 << 20
 MOST_HOT = 1_000_000
 RANGE_BYTES = 48 << 20
 MOST_RANGES = 100_000
@@ -247,7 +248,8 @@ def _left(length: int) -> Column:
 def _with_prefixes(rows: DataFrame, total: int, cell_bytes: int) -> DataFrame:
     """``rows`` with the column ``key``: a prefix of the text that few bytes share, or that only copies share."""
     spark, length = rows.sparkSession, PREFIX
-    most = max(cell_bytes, total // MOST_HOT)
+    even = total // int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = max(min(cell_bytes, max(LEAST_CELL, even)), total // MOST_HOT)
     key, open_ = _left(length), rows
     while True:
         hash_ = F.xxhash64(_left(length))
@@ -256,7 +258,7 @@ def _with_prefixes(rows: DataFrame, total: int, cell_bytes: int) -> DataFrame:
         hot = written(shared.where((F.col("_n") > most) & (F.col("_low") != F.col("_high"))).select("_hot"), scratch_folder(spark))
         if hot.isEmpty():
             return rows.withColumn("key", key)
-        # At most total / most hashes, a million at any size.
+        # At most total / most hashes: a million, or as many as a shuffle has partitions.
         name = f"_hot_{length}"
         rows = rows.join(F.broadcast(hot.withColumnRenamed("_hot", name)), F.xxhash64(_left(length)) == F.col(name), "left")
         open_ = rows.where(F.col(name).isNotNull())

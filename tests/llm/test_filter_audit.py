@@ -87,13 +87,15 @@ def test_equals_brute_force(spark):
 def test_small_tries_and_cells(spark, monkeypatch):
     """Tries that are written out after a few texts, cells whose prefixes have to grow, many ranges."""
     monkeypatch.setattr(fa, "RANGE_BYTES", 20_000)
+    monkeypatch.setattr(fa, "LEAST_CELL", 1)
     rows, labels, df, label_table = table(spark)
     want = brute(rows, labels)
     assert audited(fa.masks(df, trie_bytes=3_000, cell_bytes=2_000), label_table) == want
     assert audited(fa.masks(df.repartition(3), trie_bytes=1, cell_bytes=1), label_table) == want
 
 
-def test_prefixes_grow_only_where_texts_differ(spark):
+def test_prefixes_grow_only_where_texts_differ(spark, monkeypatch):
+    monkeypatch.setattr(fa, "LEAST_CELL", 2_000)
     head = "h" * 100
     rows = [(head + str(k % 40),) for k in range(400)] + [("same" * 50,)] * 300 + [(f"{k:08d} x",) for k in range(50)]
     df = spark.createDataFrame(rows, "text string")

@@ -11,8 +11,7 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import SparkSession
 
-from checks.oracle import ORACLE
-from checks.spark_queries import QUERIES
+from checks.registry import ORACLE, QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "

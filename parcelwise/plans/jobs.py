@@ -62,6 +62,7 @@ from parcelwise.sources.files import (
     write_table,
 )
 from parcelwise.sources.jdbc import read_jdbc, write_jdbc
+from parcelwise.sources.observed import MOST_FILES, RowCounts, files_report, watch_files
 from parcelwise.sources.scratch import scratch_folder, written
 
 Save = Callable[[DataFrame, str], None]
@@ -112,8 +113,12 @@ def check(spark: SparkSession, raw: str, rejects: str) -> dict[str, tuple[int, i
             # Written once, so that counts, rejects and duplicates all see the same positions.
             placed = written(rows, f"{scratch_folder(spark)}/{name}")
             validated = validate_rows(placed, rules, [POSITION], [FILE])
-            write_rejects(validated.drop(POSITION), f"{rejects}/{name}", sep, FILE)
-            report = quality_report(validated, FILE)
+            names = [f.name for f in usable]
+            counts, few = RowCounts(), len(names) <= MOST_FILES
+            watched = watch_files(counts, validated, name, names, FILE) if few else validated
+            write_rejects(watched.drop(POSITION), f"{rejects}/{name}", sep, FILE)
+            # The counts come out of that write; only very many files are counted by another query.
+            report = files_report(counts, validated, name, names, FILE) if few else quality_report(validated, FILE)
         else:
             report = spark.createDataFrame([], f"{FILE} string, rows_ok long, rows_rejected long")
         try:
@@ -125,13 +130,16 @@ def check(spark: SparkSession, raw: str, rejects: str) -> dict[str, tuple[int, i
     return result
 
 
-def stage(spark: SparkSession, raw: str, save: Save) -> None:
-    """Raw files to typed tables ``listings``, ``demography`` and ``poi``."""
-    save(stage_listings(read_listings(spark, raw)), "listings")
+def stage(spark: SparkSession, raw: str, save: Save) -> dict[str, int]:
+    """Raw files to typed tables ``listings``, ``demography`` and ``poi``; returns their rows, counted while they are written."""
+    counts = RowCounts()
+    put = lambda df, name: save(counts.watch(df, name), name)
+    put(stage_listings(read_listings(spark, raw)), "listings")
     # Of files that overlap the one of the later years wins: the names end in the years they cover.
     people = read_demography(spark, raw).withColumn("_age", -F.regexp_extract(FILE, r"(\d+)\D*$", 1).try_cast("int"))
-    save(stage_demography(people, ["_age", FILE]), "demography")
-    save(stage_poi(read_poi(spark, raw)), "poi")
+    put(stage_demography(people, ["_age", FILE]), "demography")
+    put(stage_poi(read_poi(spark, raw)), "poi")
+    return {name: counts.of(name)["rows"] for name in counts}
 
 
 def clean_listings(listings: DataFrame, order=LISTING_KEY) -> DataFrame:
@@ -197,7 +205,8 @@ def main(argv: list[str] | None = None) -> None:
         for name, (accepted, rejected) in check(spark, args.raw, args.out).items():
             print(f"{name}: {accepted} rows accepted, {rejected} rejected")
     elif args.job == "stage":
-        stage(spark, args.raw, sink())
+        for name, rows in stage(spark, args.raw, sink()).items():
+            print(f"{name}: {rows} rows staged")
     elif args.job == "clean":
         gaps = clean(spark, table("demography"), table("listings"), sink())
         gaps.show(truncate=False)

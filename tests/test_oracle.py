@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 
 from checks.compare import compare, oracle_connection
-from checks.spark_queries import QUERIES
+from checks.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables here")
@@ -21,7 +21,7 @@ def test_equals_sql(spark, duck, name):
     assert compare(spark, duck, SF, name).startswith("ok")
 
 
-@pytest.mark.parametrize("name", ["fact_offers", "flag_duplicates", "idw_impute", "surrogate_key", "city_median"])
+@pytest.mark.parametrize("name", ["fact_offers", "flag_duplicates", "idw_impute", "surrogate_key", "city_median", "nearest_poi", "asof_demography", "interval_periods", "snapshot_changes"])
 def test_no_join_of_all_pairs(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan

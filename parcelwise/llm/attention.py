@@ -2,14 +2,38 @@
 
 One layer, one head. A window holds ``2 * half`` symbols; the second half of the places are scored, each from
 the symbols before it, so consecutive windows overlap by half and every place is scored once.
+
+The class that follows is predicted in two levels: first its group of neighbouring class numbers, then the class in
+the group. Both are small, so a place costs two short sums instead of one over all classes.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 
+#: A bias this low leaves no probability.
+NEVER = np.float32(-1e4)
+
+
+def _softmax(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities by row and the logarithm of each row's sum; ``scores`` are used up."""
+    n = scores.shape[-1]
+    flat = scores.reshape(-1, n)
+    ones = np.ones(n, flat.dtype)
+    low = flat.max(initial=NEVER)  # one number for all rows, as long as no row lies far below it
+    out = np.exp(flat - low)
+    sums = out @ ones
+    if sums.min(initial=1) < 1e-20:
+        low = flat.max(axis=1, keepdims=True)
+        out = np.exp(flat - low)
+        sums = out @ ones
+        low = low[:, 0]
+    out /= sums[:, None]
+    return out.reshape(scores.shape), (np.log(sums) + low).reshape(scores.shape[:-1])
+
 
 @dataclass
 class Attention:
@@ -20,77 +44,136 @@ class Attention:
     key: np.ndarray
     value: np.ndarray
     mix: np.ndarray
-    out: np.ndarray  # width x classes
-    bias: np.ndarray
+    top: np.ndarray  # width x groups
+    top_bias: np.ndarray
+    out: np.ndarray  # groups x width x classes of a group
+    bias: np.ndarray  # groups x classes of a group
 
-    NAMES = ("embed", "place", "query", "key", "value", "mix", "out", "bias")
+    NAMES = ("embed", "place", "query", "key", "value", "mix", "top", "top_bias", "out", "bias")
 
     @classmethod
     def fresh(cls, symbols: int, classes: int, width: int, half: int, seed: int) -> Attention:
         rng = np.random.default_rng(seed)
         draw = lambda *shape: (rng.normal(size=shape) * width**-0.5).astype(np.float32)
-        return cls(half, draw(symbols, width), 0.1 * draw(2 * half, width), *(draw(width, width) for _ in range(4)), draw(width, classes), np.zeros(classes, np.float32))
+        size = ceil(classes**0.5)
+        groups = ceil(classes / size)
+        model = cls(
+            half, draw(symbols, width), 0.1 * draw(2 * half, width), *(draw(width, width) for _ in range(4)),
+            draw(width, groups), np.zeros(groups, np.float32), draw(groups, width, size), np.zeros((groups, size), np.float32),
+        )
+        model.start_from(np.ones(classes))
+        return model
+
+    def start_from(self, mass: np.ndarray) -> None:
+        """Classes begin with probabilities near their shares of ``mass``; those without any have none for good."""
+        shares = np.zeros(self.bias.shape)
+        shares.reshape(-1)[: len(mass)] = mass
+        with np.errstate(divide="ignore"):
+            self.bias[...] = np.maximum(np.log(shares), NEVER)
+            self.top_bias[...] = np.maximum(np.log(shares.sum(axis=1)), NEVER)
+        used = shares.sum(axis=1) > 0
+        self.bias[used] = np.maximum(self.bias[used] - self.top_bias[used, None], NEVER)
+        self.top_bias[used] -= np.float32(np.log(shares.sum()))
 
     def _mask(self) -> np.ndarray:
         """0 where the scored place in the row may look, a large negative number elsewhere."""
         ahead = np.arange(2 * self.half)[None, :] > self.half + np.arange(self.half)[:, None]
-        return np.where(ahead, np.float32(-1e4), np.float32(0))
+        return np.where(ahead, NEVER, np.float32(0))
+
+    def _by_group(self, rows: np.ndarray, targets: np.ndarray):
+        """Rows in the order of their class's group: (order, limits of the groups, rows, groups, class in the group, its scores)."""
+        size = self.bias.shape[1]
+        groups, inner = np.divmod(targets, size)
+        order = np.argsort(groups.astype(np.int16), kind="stable")
+        groups, inner, rows = groups[order], inner[order], rows[order]
+        limits = np.searchsorted(groups, np.arange(len(self.bias) + 1))
+        scores = np.empty((len(rows), size), rows.dtype)
+        for g, (a, b) in enumerate(zip(limits[:-1], limits[1:])):
+            if a < b:
+                np.matmul(rows[a:b], self.out[g], out=scores[a:b])
+                scores[a:b] += self.bias[g]
+        return order, limits, rows, groups, inner, scores
 
     def log_probabilities(self, symbols: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """windows x half: log P(class of the next symbol | the symbols so far)."""
-        scale = np.float32(self.query.shape[0] ** -0.5)
+        scale = self.embed.dtype.type(self.query.shape[0] ** -0.5)
         # Projections are linear, so they are taken of the tables once instead of at every place.
         keys, values = self.embed @ self.key, self.embed @ self.value @ self.mix
         at_keys, at_values = self.place @ self.key, self.place @ self.value @ self.mix
-        late = symbols[:, self.half :]
-        here = self.embed[late] + self.place[self.half :]
+        here = self.embed.take(symbols[:, self.half :], axis=0) + self.place[self.half :]
         queries = here @ (self.query * scale)
-        weights = queries @ (keys[symbols] + at_keys).transpose(0, 2, 1)
+        weights = queries @ (keys.take(symbols, axis=0) + at_keys).transpose(0, 2, 1)
         weights += self._mask()
-        weights -= weights.max(axis=2, keepdims=True)
-        np.exp(weights, out=weights)
-        weights /= weights.sum(axis=2, keepdims=True)
-        here += weights @ (values[symbols] + at_values)
-        logits = here.reshape(-1, here.shape[2]) @ self.out + self.bias
-        logits -= logits.max(axis=1, keepdims=True)
-        chosen = np.take_along_axis(logits, targets.reshape(-1, 1), 1)[:, 0]
-        np.exp(logits, out=logits)
-        return (chosen - np.log(logits.sum(axis=1))).reshape(targets.shape)
+        weights, _ = _softmax(weights)
+        here += weights @ (values.take(symbols, axis=0) + at_values)
+        order, _, rows, groups, inner, scores = self._by_group(here.reshape(-1, here.shape[2]), targets.ravel())
+        number, out = np.arange(len(rows)), np.empty(len(rows), rows.dtype)
+        first = rows @ self.top + self.top_bias
+        logs = first[number, groups] + scores[number, inner]
+        logs -= _softmax(first)[1]
+        logs -= _softmax(scores)[1]
+        out[order] = logs
+        return out.reshape(targets.shape)
 
     def step(self, symbols: np.ndarray, targets: np.ndarray, counted: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """The mean loss over ``counted`` places and its gradients."""
         half, width = self.half, self.query.shape[0]
-        scale = np.float32(width**-0.5)
-        x = self.embed[symbols] + self.place
-        late = x[:, half:]
-        q, k, v = late @ self.query, x @ self.key, x @ self.value
-        weights = q @ k.transpose(0, 2, 1) * scale + self._mask()
-        weights = np.exp(weights - weights.max(axis=2, keepdims=True))
-        weights /= weights.sum(axis=2, keepdims=True)
+        scale = self.embed.dtype.type(width**-0.5)
+        x = self.embed.take(symbols, axis=0) + self.place
+        x2, late = x.reshape(-1, width), x[:, half:].reshape(-1, width)
+        both = np.concatenate([self.key, self.value], axis=1)
+        k_v = (x2 @ both).reshape(*x.shape[:2], 2 * width)
+        k, v = k_v[..., :width], k_v[..., width:]
+        q = (late @ (self.query * scale)).reshape(-1, half, width)
+        weights = q @ k.transpose(0, 2, 1)
+        weights += self._mask()
+        weights, _ = _softmax(weights)
         seen = weights @ v
-        here = late + seen @ self.mix
-        flat = here.reshape(-1, width)
-        logits = flat @ self.out + self.bias
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        p /= p.sum(axis=1, keepdims=True)
-        rows, goal, n = np.arange(len(flat)), targets.ravel(), max(1, counted.sum())
-        loss = float(-(np.log(p[rows, goal] + 1e-30) * counted.ravel()).sum() / n)
-        p[rows, goal] -= 1
-        d_logits = p * (counted.ravel()[:, None] / np.float32(n))
-        d_here = (d_logits @ self.out.T).reshape(here.shape)
-        d_seen = d_here @ self.mix.T
-        d_weights = d_seen @ v.transpose(0, 2, 1)
-        d_scores = weights * (d_weights - (d_weights * weights).sum(axis=2, keepdims=True)) * scale
-        d_q, d_k, d_v = d_scores @ k, d_scores.transpose(0, 2, 1) @ q, weights.transpose(0, 2, 1) @ d_seen
-        sums = lambda a, b: a.reshape(-1, a.shape[2]).T @ b.reshape(-1, b.shape[2])
-        d_x = d_k @ self.key.T + d_v @ self.value.T
-        d_x[:, half:] += d_here + d_q @ self.query.T
-        d_embed = np.zeros_like(self.embed)
-        np.add.at(d_embed, symbols, d_x)
+        flat = late + seen.reshape(-1, width) @ self.mix
+
+        order, limits, rows, groups, inner, p = self._by_group(flat, targets.ravel())
+        number, share = np.arange(len(rows)), counted.ravel()[order]
+        n = max(1, share.sum())
+        first = rows @ self.top + self.top_bias
+        logs = first[number, groups] + p[number, inner]
+        first, sums = _softmax(first)
+        logs -= sums
+        p, sums = _softmax(p)
+        logs -= sums
+        loss = float(-(logs * share).sum() / n)
+        share = (share / n).astype(p.dtype)[:, None]
+        first[number, groups] -= 1
+        p[number, inner] -= 1
+        first *= share
+        p *= share
+        d_rows = first @ self.top.T
+        d_out, d_bias = np.zeros_like(self.out), np.zeros_like(self.bias)
+        for g, (a, b) in enumerate(zip(limits[:-1], limits[1:])):
+            if a < b:
+                d_rows[a:b] += p[a:b] @ self.out[g].T
+                d_out[g] = rows[a:b].T @ p[a:b]
+                d_bias[g] = p[a:b].sum(axis=0)
+        d_here = np.empty_like(d_rows)
+        d_here[order] = d_rows
+
+        d_seen = (d_here @ self.mix.T).reshape(seen.shape)
+        d_scores = d_seen @ v.transpose(0, 2, 1)
+        d_scores -= (d_seen * seen).sum(axis=2, keepdims=True)  # the mean of d_scores under the weights
+        d_scores *= weights
+        d_q = (d_scores @ k).reshape(-1, width)
+        d_k_v = np.empty_like(k_v)
+        np.matmul(d_scores.transpose(0, 2, 1), q, out=d_k_v[..., :width])
+        np.matmul(weights.transpose(0, 2, 1), d_seen, out=d_k_v[..., width:])
+        d_k_v = d_k_v.reshape(-1, 2 * width)
+        d_x = (d_k_v @ both.T).reshape(x.shape)
+        d_x[:, half:] += (d_here + d_q @ (self.query * scale).T).reshape(-1, half, width)
+        d_both = x2.T @ d_k_v
+        flat_symbols, columns = symbols.ravel(), np.ascontiguousarray(d_x.reshape(-1, width).T)
+        d_embed = np.stack([np.bincount(flat_symbols, column, len(self.embed)) for column in columns], axis=1)
         return loss, {
-            "embed": d_embed, "place": d_x.sum(axis=0), "query": sums(late, d_q), "key": sums(x, d_k), "value": sums(x, d_v),
-            "mix": sums(seen, d_here), "out": flat.T @ d_logits, "bias": d_logits.sum(axis=0),
+            "embed": d_embed.astype(self.embed.dtype), "place": d_x.sum(axis=0), "query": late.T @ d_q * scale, "key": d_both[:, :width],
+            "value": d_both[:, width:], "mix": seen.reshape(-1, width).T @ d_here, "top": rows.T @ first, "top_bias": first.sum(axis=0),
+            "out": d_out, "bias": d_bias,
         }
 
     def train(self, symbols: np.ndarray, targets: np.ndarray, counted: np.ndarray, *, steps: int, batch: int, rate: float, seed: int) -> list[float]:
@@ -139,3 +222,26 @@ def overlapping(ids: list[np.ndarray], half: int) -> tuple[np.ndarray, np.ndarra
         owners.append(np.full(len(starts), k))
         at += n
     return np.concatenate(read), np.concatenate(scored), np.concatenate(owners)
+
+
+def pieces(ids: list[np.ndarray], half: int, most: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Long texts in pieces: (pieces, text of each, whether its first ``2 * half`` ids repeat the end of the piece before)."""
+    parts, owners, goes_on = [], [], []
+    for k, own in enumerate(ids):
+        for at in range(0, max(1, len(own)), most):
+            parts.append(own[max(0, at - 2 * half) : at + most])
+            owners.append(k)
+            goes_on.append(at > 0)
+    return parts, np.array(owners, int), np.array(goes_on, bool)
+
+
+def windows(ids: list[np.ndarray], half: int, most: int = 1 << 17) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ids of all pieces, ``overlapping`` of them with owners among the texts); every id of a text is scored once.
+
+    ``most`` is a multiple of ``half`` and at least twice it, so a later piece's windows are those of the whole text.
+    """
+    parts, owner, goes_on = pieces(ids, half, most)
+    read, scored, piece = overlapping(parts, half)
+    first = np.searchsorted(piece, np.flatnonzero(goes_on))
+    scored[first] = scored[first + 1] = -1
+    return np.concatenate([[0], *parts]).astype(np.int64), read, scored, owner[piece]

@@ -5,7 +5,10 @@ predicted by a causal self-attention model (``attention``); the second factor co
 rows. Classes are clusters of ids with like neighbours, counted over all training rows; rare ids share classes by whether
 they end a word. The model is started in numpy on a bounded sample and then trained on every id of every training row:
 in ``ROUNDS`` rounds, each over the rows of one fold, tasks take steps on their own rows and the weights they end with are
-averaged by the ids they saw. Only weights, counts by id and counts of neighbours reach the driver.
+averaged by the ids they saw (so scores depend a little on how rows are dealt to tasks). Only weights, counts by id and
+counts of neighbours reach the driver.
+
+Texts are cut into words and ids once; counts, training and scoring read the written word hashes and ids.
 
 The word model needs the training count of every word, and words are as many as the corpus makes them. The most
 frequent of all rows' words (at most ``head_words``) go to every task; the others are joined, a row for each
@@ -17,21 +20,23 @@ Words are told apart by 64-bit hashes.
 from __future__ import annotations
 
 import copy
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelwise.llm.attention import Adam, Attention, overlapping
+from parcelwise.llm.attention import Adam, Attention, windows
 from parcelwise.llm.neardup import Work
 from parcelwise.llm.packing import TOKENIZER, id_table
-from parcelwise.llm.words import WordHashes
+from parcelwise.llm.words import keep_heap, texts, tidy
 
 HEAD_WORDS = 1_000_000
 SAMPLE_ROWS = 800
@@ -42,8 +47,8 @@ WIDTH = 16
 HALF = 16
 STEPS = 800
 ROUNDS = 4
-ROUND_RATE = 0.003
-#: Weights are summed as whole numbers, so that their order doesn't matter.
+ROUND_RATE = 0.006
+#: Weights are summed as multiples of one part in so many, so that their order hardly matters.
 _UNIT = 1 << 20
 _MARKS = 200
 TABLE_WORDS = 400_000
@@ -54,20 +59,100 @@ END_WORD = b"\n"
 _BUCKETS = 8  # of counts, per power of two
 
 
-def _ids(text: bytes, table) -> np.ndarray:
-    return np.frombuffer(b"".join(map(table.__getitem__, text.lower().split())), "<u4")
+class _Numbers(dict):
+    """Word to its number, by first sight."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+class Vocabulary:
+    """Words seen by a Python worker: hash and ids of each; starts anew when it holds ``limit`` words."""
+
+    def __init__(self, path: str, limit: int = TABLE_WORDS):
+        self.table, self.limit = id_table(path), limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self.numbers = _Numbers()
+        self.hashes, self.starts = np.zeros(0, np.uint64), np.zeros(1, np.int64)
+        self.pool = np.zeros(0, "<u2")
+
+    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash of each word, number of ids of each word, all ids)."""
+        if len(self.numbers) > self.limit:
+            self._clear()
+        known = len(self.numbers)
+        numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        new = list(islice(self.numbers, known, None))
+        if new:
+            own = [np.uint32(END).tobytes() if w == END_WORD else self.table[w] for w in new]
+            ends = np.cumsum(np.fromiter((len(x) // 4 for x in own), np.int64, len(own)))
+            self.hashes = np.concatenate([self.hashes, np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new))])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + ends])
+            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(own), "<u4").astype("<u2")])
+        first = self.starts[numbers]
+        lengths = self.starts[numbers + 1] - first
+        before = np.cumsum(lengths) - lengths
+        places = np.repeat(first - before, lengths)
+        places += np.arange(len(places))
+        return self.hashes[numbers], lengths, self.pool[places]
+
+
+@lru_cache(maxsize=1)
+def _vocabulary(path: str) -> Vocabulary:
+    return Vocabulary(path)
 
 
-def count_corpus(docs: DataFrame, path: str) -> DataFrame:
-    """(``kind``, ``key``, ``n_train``, ``n_all``): words by hash (kind 0) and ids (kind 1) over all rows.
+def _binary(limits: np.ndarray, values: np.ndarray) -> pa.Array:
+    """Row k holds the bytes of ``values[limits[k]:limits[k + 1]]``."""
+    offsets = (limits * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(limits) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _encoded(docs: DataFrame, path: str) -> DataFrame:
+    """(``doc_id``, ``train``, ``draw``, ``fold``, ``words``, ``ids``) of ``doc_id``, ``train``, ``text``: hashes of the words, eight
+    bytes each, and ids, two bytes each, of every row, ends included."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = _vocabulary(path)
+
+        def rows(part: pa.RecordBatch, words: list[bytes], sizes: list[int]) -> pa.RecordBatch:
+            hashes, lengths, ids = vocabulary.read(words)
+            at = np.cumsum([0, *sizes])
+            id_at = np.concatenate([[0], np.cumsum(lengths)])[at]
+            return pa.record_batch([*part.columns[:4], _binary(at, hashes), _binary(id_at, ids)], names=["doc_id", "train", "draw", "fold", "words", "ids"])
+
+        for batch in batches:
+            words, sizes, first = [], [], 0
+            for k, text in enumerate(texts(batch, 4)):
+                own = (text or b"").lower().split()
+                words += own
+                words.append(END_WORD)
+                sizes.append(len(own) + 1)
+                if len(words) > 200_000 or k + 1 == batch.num_rows:
+                    yield rows(batch.slice(first, k + 1 - first), words, sizes)
+                    words, sizes, first = [], [], k + 1
 
-    ``docs`` has ``train`` and ``text``. Tasks add up before anything is shuffled.
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    narrow = docs.select("doc_id", "train", F.xxhash64("doc_id"), F.pmod(F.xxhash64("text"), F.lit(ROUNDS)).cast("int"), "text")
+    return narrow.mapInArrow(tidy(run), f"doc_id {id_type}, train boolean, draw long, fold int, words binary, ids binary")
+
+
+def _joined(column: pa.Array, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(x.as_py() for x in column), kind)
+
+
+def count_corpus(encoded: DataFrame) -> DataFrame:
+    """(``kind``, ``key``, ``n_train``, ``n_all``): words by hash (kind 0) and ids (kind 1) over all rows of ``encoded``.
+
+    Tasks add up before anything is shuffled.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, table = WordHashes(), id_table(path)
-        seen, trained = Counter(), Counter()
         id_counts = np.zeros(1 << 16, np.int64)
+        held, n_held = [], 0
 
         def rows(kind: int, keys: np.ndarray, train: np.ndarray, all_: np.ndarray) -> pa.RecordBatch:
             return pa.record_batch(
@@ -75,33 +160,35 @@ def count_corpus(docs: DataFrame, path: str) -> DataFrame:
                 names=["kind", "key", "n_train", "n_all"],
             )
 
-        def flush() -> pa.RecordBatch:
-            words = list(seen)
-            every = np.fromiter(seen.values(), np.int64, len(words))
-            train = np.fromiter((trained[w] for w in words), np.int64, len(words))
-            own = [table[w] if w != END_WORD else np.uint32(END).tobytes() for w in words]
-            lengths = np.fromiter((len(x) // 4 for x in own), np.int64, len(own))
-            np.add.at(id_counts, np.frombuffer(b"".join(own), "<u4"), np.repeat(train, lengths))
-            out = rows(0, hashes.of(words), train, every)
-            seen.clear()
-            trained.clear()
-            return out
+        def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            keys, train, every = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(keys)
+            keys = keys[order]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            return keys[first], np.add.reduceat(train[order], first), np.add.reduceat(every[order], first)
 
         for batch in batches:
-            for is_train, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = (text.as_py() or "").encode().lower().split()
-                words.append(END_WORD)
-                seen.update(words)
-                if is_train:
-                    trained.update(words)
-                if len(seen) > TABLE_WORDS:
-                    yield flush()
-        if seen:
-            yield flush()
-            used = np.flatnonzero(id_counts)
-            yield rows(1, used, id_counts[used], id_counts[used])
-
-    counted = docs.select("train", "text").mapInArrow(run, "kind int, key long, n_train long, n_all long")
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                is_train = part.column(0)
+                for trains, own in ((True, part.filter(is_train)), (False, part.filter(pa.compute.invert(is_train)))):
+                    keys, n = np.unique(_joined(own.column(1), "<u8"), return_counts=True)
+                    held.append((keys, n if trains else np.zeros(len(n), np.int64), n))
+                    n_held += len(keys)
+                    if trains:
+                        id_counts += np.bincount(_joined(own.column(2), "<u2"), minlength=len(id_counts))
+                if n_held > 4 * TABLE_WORDS:
+                    held = [merged()]
+                    n_held = len(held[0][0])
+                    if n_held > TABLE_WORDS:
+                        yield rows(0, *held[0])
+                        held, n_held = [], 0
+        if n_held:
+            yield rows(0, *merged())
+        used = np.flatnonzero(id_counts)
+        yield rows(1, used, id_counts[used], id_counts[used])
+
+    counted = encoded.select("train", "words", "ids").mapInArrow(tidy(run), "kind int, key long, n_train long, n_all long")
     return counted.groupBy("kind", "key").agg(F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all"))
 
 
@@ -130,19 +217,18 @@ class Language:
     class_of: np.ndarray
     within: np.ndarray  # log P(id | class)
 
-    def log10_probabilities(self, texts: list[np.ndarray], most: int = 1024) -> np.ndarray:
+    def log10_probabilities(self, texts: list[np.ndarray], most: int = 512) -> np.ndarray:
         """Of each text; its ids end with the end mark."""
         total = np.zeros(len(texts))
-        flat = np.concatenate([[0], *texts]).astype(np.int64)
-        read, scored, owners = overlapping(texts, self.attention.half)
+        flat, read, scored, owners = windows(texts, self.attention.half)
         symbols, classes, within = self.symbol_of[flat], self.class_of[flat], self.within[flat]
         symbols[0] = 0
         for at in range(0, len(read), most):
             goal = scored[at : at + most]
-            counted = goal >= 0
-            logs = self.attention.log_probabilities(symbols[read[at : at + most]], classes[goal])
-            logs += within[goal]
-            total += np.bincount(owners[at : at + most], (logs * counted).sum(axis=1), len(texts))
+            logs = self.attention.log_probabilities(symbols[read[at : at + most]], classes[goal]) + within[goal]
+            logs[goal < 0] = 0
+            owner = owners[at : at + most]
+            total[owner[0] : owner[-1] + 1] += np.bincount(owner - owner[0], logs.sum(axis=1))
         return total / np.log(10)
 
 
@@ -202,7 +288,7 @@ def _learn(
     mass = np.bincount(class_of, counts + 0.5, CLASSES)
     within = np.log((counts + 0.5) / mass[class_of])
     attention = Attention.fresh(SYMBOLS, CLASSES, WIDTH, HALF, seed)
-    attention.bias[size == 0] = -1e4  # classes without ids have no share
+    attention.start_from(np.where(size > 0, mass, 0))
     language = Language(attention, symbol_of, class_of, within)
     if not texts:
         return language, []
@@ -212,39 +298,29 @@ def _learn(
 
 def _windows(language: Language, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, classes to predict, 1 where one is) of every window."""
-    read, scored, _ = overlapping(texts, language.attention.half)
-    flat = np.concatenate([[0], *texts]).astype(np.int64)
+    flat, read, scored, _ = windows(texts, language.attention.half)
     symbols = language.symbol_of[flat]
     symbols[0] = 0
     return symbols[read], language.class_of[flat[scored]], (scored >= 0).astype(np.float32)
 
 
-def _training_ids(rows: DataFrame, path: str) -> DataFrame:
-    """(``draw``, ``fold``, ``ids``): all ids of every row, two bytes each, and the end."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = id_table(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                own = [np.append(_ids(v.as_py().encode(), table), np.uint32(END)).astype("<u2").tobytes() for v in part.column(2)]
-                yield pa.record_batch([part.column(0), part.column(1), pa.array(own, pa.binary())], names=["draw", "fold", "ids"])
-
-    draw = F.xxhash64("doc_id")
-    fold = F.pmod(F.xxhash64("text"), F.lit(ROUNDS)).cast("int")
-    return rows.select(draw.alias("draw"), fold.alias("fold"), "text").mapInArrow(run, "draw long, fold int, ids binary")
-
-
-def _texts(batch: pa.RecordBatch, most: int) -> Iterator[list[np.ndarray]]:
-    """The ids of ``most`` rows at a time."""
-    for at in range(0, batch.num_rows, most):
-        yield [np.frombuffer(x.as_py(), "<u2").astype(np.int64) for x in batch.column(0).slice(at, most)]
+def _texts(column: pa.Array, most: int = 1 << 17) -> Iterator[list[np.ndarray]]:
+    """The ids of rows, of so many rows at a time that they have more than ``most`` ids."""
+    held, n = [], 0
+    for value in column:
+        held.append(np.frombuffer(value.as_py(), "<u2"))
+        n += len(held[-1])
+        if n > most:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
 
 
 def _summed(df: DataFrame, size: int) -> np.ndarray:
     """``value`` summed by ``place``, of at most ``size`` places."""
     table = df.groupBy("place").agg(F.sum("value").alias("value")).toArrow()
-    out = np.zeros(size, np.int64)
+    out = np.zeros(size, table["value"].type.to_pandas_dtype())
     out[table["place"].to_numpy()] = table["value"].to_numpy()
     return out
 
@@ -255,8 +331,8 @@ def _all_neighbours(ids: DataFrame, common: np.ndarray, n: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(common), width), np.int64)
         for batch in batches:
-            for texts in _texts(batch, 500):
-                total += _neighbours(texts, common, n)
+            for own in _texts(batch.column(0)):
+                total += _neighbours(own, common, n)
         used = np.flatnonzero(total)
         yield pa.record_batch([pa.array(used), pa.array(total.ravel()[used])], names=["place", "value"])
 
@@ -273,24 +349,25 @@ def _train_on_all(language: Language, ids: DataFrame, seed: int) -> None:
         rate = ROUND_RATE * (1 - fold / ROUNDS)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, rate=rate, fold=fold) -> Iterator[pa.RecordBatch]:
+            keep_heap()
             own = copy.deepcopy(shared.value)
             rng = np.random.default_rng([seed, fold])
             trainer, n = Adam(own.attention), 0
             for batch in batches:
-                for texts in _texts(batch, 64):
-                    symbols, goals, counted = _windows(own, texts)
+                for texts_ids in _texts(batch.column(0)):
+                    symbols, goals, counted = _windows(own, texts_ids)
+                    n += sum(map(len, texts_ids))
                     order = rng.permutation(len(symbols))
                     for some in np.array_split(order, -(-len(order) // 256)):
                         trainer.step(symbols[some], goals[some], counted[some], rate)
-                    n += sum(map(len, texts))
             if n:
                 weights = np.concatenate([getattr(own.attention, name).ravel() for name in own.attention.NAMES]).astype(np.float64)
-                values = np.append(np.rint(weights * _UNIT).astype(np.int64) * n, n)
+                values = np.append(np.rint(weights * _UNIT) / _UNIT * n, n)
                 yield pa.record_batch([pa.array(np.arange(len(values))), pa.array(values)], names=["place", "value"])
 
-        sums = _summed(ids.where(F.col("fold") == fold).select("ids").mapInArrow(run, "place long, value long"), cuts[-1] + 1)
+        sums = _summed(ids.where(F.col("fold") == fold).select("ids").mapInArrow(tidy(run), "place long, value double"), cuts[-1] + 1)
         if sums[-1]:
-            means = (sums[:-1] / sums[-1] / _UNIT).astype(np.float32)
+            means = (sums[:-1] / sums[-1]).astype(np.float32)
             for name, shape, values in zip(attention.NAMES, shapes, np.split(means, cuts[:-1])):
                 setattr(attention, name, values.reshape(shape))
         shared.unpersist()
@@ -318,11 +395,13 @@ def score_texts(
 
     NULL text counts as empty: its end alone. Repeated rows and NULL ids are scored like others, a NULL ``train`` is
     no training row; other columns are ignored, an empty table gives no row. Without training rows every count is 0.
+    Long texts are read in pieces that repeat the ids before them, with the same score.
     """
     path = tokenizer_path or public_tokenizers.path(TOKENIZER)
     work = Work(docs.sparkSession)
     narrow = docs.select(docs[id_col].alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), docs[text_col].alias("text"))
-    counted = work.keep(count_corpus(narrow, path))
+    encoded = work.keep(_encoded(narrow, path))
+    counted = work.keep(count_corpus(encoded))
     words = counted.where("kind = 0")
     n_train, kinds = words.agg(F.coalesce(F.sum("n_train"), F.lit(0)), F.count_if(F.col("n_train") > 0)).first()
     head_keys, head_counts, first_bucket = _head(words, head_words)
@@ -331,8 +410,7 @@ def score_texts(
     for r in counted.where("kind = 1").collect():  # one row for each id of the tokenizer at most
         id_counts[r["key"]] = r["n_train"]
     ends = id_table(path).word_ends()
-    rows = narrow.where("train AND text IS NOT NULL")
-    ids = work.keep(_training_ids(rows, path))
+    ids = encoded.where("train").select("draw", "fold", "ids")
     common = _common(id_counts, SYMBOLS)
     found = common, _all_neighbours(ids, common, len(id_counts))
     share = min(1.0, sample_rows / max(1, ids.count()))
@@ -346,34 +424,32 @@ def score_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         language, keys, logs, known = shared.value
-        hashes, table = WordHashes(), id_table(path)
+        keep_heap()
         row = TaskContext.get().partitionId() << 33
-        end = np.array([END], np.uint32)
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                n_tokens, n_known, head_logs, tails, texts, scores = [], [], [], [], [], []
-                for value in part.column(2):
-                    own = (value.as_py() or "").encode().lower().split()
-                    texts.append(np.concatenate([np.frombuffer(b"".join(map(table.__getitem__, own)), "<u4"), end]))
-                    own.append(END_WORD)
-                    hashed = hashes.of(own)
-                    where = np.minimum(np.searchsorted(keys, hashed), max(0, len(keys) - 1))
-                    found = keys[where] == hashed if len(keys) else np.zeros(len(own), bool)
-                    n_tokens.append(len(own))
-                    n_known.append(int(known[where[found]].sum()))
-                    head_logs.append(float(logs[where[found]].sum()))
-                    tails.append(hashed[~found].view(np.int64))
-                scores = language.log10_probabilities(texts)
-                numbers = np.arange(row, row + part.num_rows)
-                row += part.num_rows
+            first = 0
+            for own in _texts(batch.column(3)):
+                part = batch.slice(first, len(own))
+                first += len(own)
+                hashed = _joined(part.column(2), "<u8")
+                sizes = np.fromiter((len(x.as_py()) // 8 for x in part.column(2)), np.int64, len(own))
+                owner = np.repeat(np.arange(len(own)), sizes)
+                where = np.minimum(np.searchsorted(keys, hashed), max(0, len(keys) - 1))
+                found = keys[where] == hashed if len(keys) else np.zeros(len(hashed), bool)
+                add = lambda values: np.bincount(owner[found], values[where[found]], len(own))  # noqa: B023, E731
+                tail_ends = np.cumsum(np.bincount(owner[~found], minlength=len(own)))
+                tails = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], tail_ends]), pa.int32()), pa.array(hashed[~found].view(np.int64)))
+                numbers = np.arange(row, row + len(own))
+                row += len(own)
                 yield pa.record_batch(
-                    [part.column(0), part.column(1), pa.array(numbers), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(head_logs), pa.array(tails, pa.list_(pa.int64())), pa.array(scores)],
+                    [*part.columns[:2], pa.array(numbers), pa.array(sizes), pa.array(add(known).astype(np.int64)), pa.array(add(logs).astype(float)), tails, pa.array(language.log10_probabilities(own))],
                     names=["doc_id", "train", "row", "n_tokens", "n_known", "head_logs", "tail", "score"],
                 )
 
     scored = work.keep(
-        narrow.mapInArrow(run, f"doc_id {id_type}, train boolean, row long, n_tokens long, n_known long, head_logs double, tail array<long>, score double")
+        encoded.select("doc_id", "train", "words", "ids").mapInArrow(
+            tidy(run), f"doc_id {id_type}, train boolean, row long, n_tokens long, n_known long, head_logs double, tail array<long>, score double"
+        )
     )
     rare = words.where(_bucket(F.col("n_all")) < first_bucket).where("n_train > 0").select("key", "n_train")
     tail = (

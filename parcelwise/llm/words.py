@@ -60,6 +60,14 @@ def texts(batch: pa.RecordBatch, column: int = 1) -> Iterator[bytes | None]:
         yield value.as_py()
 
 
+def keep_heap(size: int = 1 << 26) -> None:
+    """Freed arrays stay with the process, up to ``size`` bytes, so that those of the next step cost no page faults."""
+    with suppress(OSError, AttributeError):
+        malloc_option = ctypes.CDLL(None).mallopt
+        malloc_option(-3, min(size, 1 << 25))  # arrays up to this size come from the heap
+        malloc_option(-1, size)  # and the heap is not cut back before so much of it is free
+
+
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
     """``run``, and what memory it leaves free goes back to the system: Python workers outlive their tasks."""
 

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from parcelwise.llm.attention import Attention, overlapping
+from parcelwise.llm.attention import Attention, _softmax, overlapping, windows
 from parcelwise.llm.scoring import CLASSES, END, Language, _learn, score_texts
 
 
@@ -85,6 +85,53 @@ def test_probabilities_sum_to_one_and_training_helps():
     assert isinstance(language, Language) and language.class_of.max() < CLASSES
 
 
+def plain_log10(language, ids):
+    """One id after the other, every sum written out."""
+    model, total = language.attention, 0.0
+    half, width = model.half, model.query.shape[0]
+    size = model.bias.shape[1]
+    for t, goal in enumerate(ids):
+        begin = t // half * half
+        before = [language.symbol_of[ids[at]] if at >= 0 else 0 for at in range(begin - half - 1, t)]
+        x = [model.embed[s].astype(float) + model.place[k] for k, s in enumerate(before)]
+        weights = np.exp([x[-1] @ model.query @ (own @ model.key) / math.sqrt(width) for own in x])
+        here = x[-1] + sum(w * (own @ model.value) for w, own in zip(weights / weights.sum(), x)) @ model.mix
+        group, inner = divmod(int(language.class_of[goal]), size)
+        first, second = np.exp(here @ model.top + model.top_bias), np.exp(here @ model.out[group] + model.bias[group])
+        total += math.log10(first[group] / first.sum()) + math.log10(second[inner] / second.sum()) + language.within[goal] / math.log(10)
+    return total
+
+
+def test_scores_match_a_plain_loop():
+    rng = np.random.default_rng(8)
+    texts = [np.append(rng.integers(0, 40, n), END) for n in (0, 1, 15, 16, 17, 70, 300)]
+    counts = np.bincount(np.concatenate(texts), minlength=END + 1)
+    language, _ = _learn(texts, counts, np.arange(END + 1) % 2 == 0, seed=3, steps=30)
+    assert language.log10_probabilities(texts) == pytest.approx([plain_log10(language, own) for own in texts], rel=1e-4)
+    assert language.log10_probabilities(texts, most=3) == pytest.approx(language.log10_probabilities(texts), rel=1e-5)
+
+
+def test_long_texts_in_pieces_are_scored_alike():
+    rng = np.random.default_rng(9)
+    model = Attention.fresh(100, 10, 8, 4, seed=2)
+    texts = [rng.integers(1, 100, n) for n in (1, 7, 64, 65, 200, 331)]
+    sums = []
+    for most in (1 << 17, 16, 8):
+        flat, read, scored, owners = windows(texts, 4, most)
+        counted = scored >= 0
+        assert np.bincount(owners, counted.sum(axis=1)).tolist() == [len(x) for x in texts]
+        logs = model.log_probabilities(np.where(read > 0, flat[read], 0), flat[scored] % 10)
+        sums.append(np.bincount(owners, (logs * counted).sum(axis=1)))
+    assert sums[1] == pytest.approx(sums[0], rel=1e-5) and sums[2] == pytest.approx(sums[0], rel=1e-5)
+
+
+def test_rows_far_apart_keep_their_probabilities():
+    scores = np.array([[0, 1, 2], [-900, -901, -900], [500, 0, -1e4]], np.float32)
+    p, logs = _softmax(scores.copy())
+    assert p.sum(axis=1) == pytest.approx(1) and p[1] == pytest.approx([0.4223, 0.1554, 0.4223], abs=1e-3)
+    assert logs == pytest.approx([2.4076, -899.138, 500], abs=1e-2)
+
+
 def plain_scores(rows, train):
     tokens = [(i, [w.decode() for w in (t or "").encode().lower().split()] + [None]) for i, t in rows]
     c = Counter(w for i, own in tokens if train(i) for w in own)

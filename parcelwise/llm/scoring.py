@@ -105,6 +105,12 @@ def _vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def _forget_words() -> None:
+    """Workers outlive their tasks: what cutting texts needed goes before other work begins."""
+    _vocabulary.cache_clear()
+    id_table.cache_clear()
+
+
 def _binary(limits: np.ndarray, values: np.ndarray) -> pa.Array:
     """Row k holds the bytes of ``values[limits[k]:limits[k + 1]]``."""
     offsets = (limits * values.itemsize).astype(np.int32)
@@ -151,6 +157,7 @@ def count_corpus(encoded: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget_words()
         id_counts = np.zeros(1 << 16, np.int64)
         held, n_held = [], 0
 
@@ -349,6 +356,7 @@ def _train_on_all(language: Language, ids: DataFrame, seed: int) -> None:
         rate = ROUND_RATE * (1 - fold / ROUNDS)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, rate=rate, fold=fold) -> Iterator[pa.RecordBatch]:
+            _forget_words()
             keep_heap()
             own = copy.deepcopy(shared.value)
             rng = np.random.default_rng([seed, fold])
@@ -423,8 +431,9 @@ def score_texts(
     id_type = narrow.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        language, keys, logs, known = shared.value
+        _forget_words()
         keep_heap()
+        language, keys, logs, known = shared.value
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             first = 0

@@ -74,3 +74,24 @@ def test_no_rule_runs_after_a_rejection(spark):
 
 def test_empty_table(spark):
     assert quality.judge(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_sample_is_drawn_from_all_partitions(spark):
+    """The first file holds one source that a rule always rejects; a sample of first rows would take the rule for the best."""
+    docs = spark.range(0, 4000, 1, 8).selectExpr("id AS doc_id", "CASE WHEN id < 1000 THEN 'x' WHEN id % 4 = 1 THEN 'y' END AS text", "1 AS rule")
+    first, other = Rule("first", lambda m: m.text == b"x"), Rule("other", lambda m: m.text != b"x")
+    found = quality.measure_rules(docs, [first, other], "text", 800)
+    assert 0.15 < found["first"][1] < 0.35
+    assert abs(found["first"][1] + found["other"][1] - 1) < 1e-9
+    assert all(cost > 0 for cost, _ in found.values())
+    whole = quality.measure_rules(docs, [first], "text", 10**6)
+    assert whole["first"][1] == 0.25
+
+
+def test_very_long_text(spark):
+    text = "again and again the same line\n" * 60_000 + "and " + " ".join(f"w{k}" for k in range(300_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = judge(docs, report=("n_words", "word_chars", "n_dup_lines", "n_repeat_words")).first()
+    words = text.split()
+    assert (row["n_words"], row["word_chars"]) == (len(words), sum(map(len, words)))
+    assert row["n_dup_lines"] == 59_999 and row["n_repeat_words"] == 360_000 and not row["kept"]

@@ -5,21 +5,25 @@ least one piece stands unchanged wherever the item does. One automaton (Aho-Cora
 in one pass over a text; hits of an item on neighbouring diagonals make one window; there Myers'
 bit-parallel algorithm gives the least edit distance of the item to any substring.
 
-Texts and items are compared as words (letters and digits) in lower case with one space between. The
-items go to all tasks in blocks of at most ``block_chars``; a larger set of items takes more blocks, and
-each block is matched against all rows.
+Texts and items are compared as words (letters and digits) in lower case with one space between. Items of up to
+``block_chars`` go to all tasks at once. A larger set is a table: equal texts become one, are dealt into blocks, and
+one block after the other goes to the tasks, is matched against all rows, its places written, and is let go. So the driver and
+a task hold one block at a time, however many items there are; item ids are joined to the places at the end.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
-from functools import reduce
+from functools import cached_property, reduce
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelwise.llm.neardup import Work
 from parcelwise.llm.words import tidy
 
 ERROR_RATE = 0.05
@@ -35,20 +39,22 @@ def normalised(text: str) -> str:
     return f" {words} " if words else ""
 
 
-def offsets(text: str) -> list[int]:
+def offsets(text: str) -> array:
     """For every character of ``normalised(text)``, the place in ``text`` it comes from."""
     lower = text.lower()
     if len(lower) != len(text):  # a few letters grow in lower case
-        back = [k for k, c in enumerate(text) for _ in c.lower()]
-        back += [len(text) - 1] * (len(lower) - len(back))
+        back = array("q", (k for k, c in enumerate(text) for _ in c.lower()))
+        back.extend([len(text) - 1] * (len(lower) - len(back)))
     else:
         back = range(len(text))
-    found, last = [], 0
+    found, last = array("q"), 0
     for word in _WORD.finditer(lower):
         found.append(last)
         found.extend(back[k] for k in range(word.start(), word.end()))
         last = back[word.end() - 1] + 1
-    return [*found, last] if found else []
+    if found:
+        found.append(last)
+    return found
 
 
 def pieces(item: str, budget: int) -> list[tuple[int, str]]:
@@ -58,11 +64,18 @@ def pieces(item: str, budget: int) -> list[tuple[int, str]]:
 
 
 class Pattern:
-    """An item ready for Myers' algorithm."""
+    """An item for Myers' algorithm; its masks are made when a text first has one of its pieces."""
 
     def __init__(self, item: str, budget: int):
         self.item, self.budget = item, budget
-        self.forward, self.backward = self._masks(item), self._masks(item[::-1])
+
+    @cached_property
+    def forward(self) -> dict[str, int]:
+        return self._masks(self.item)
+
+    @cached_property
+    def backward(self) -> dict[str, int]:
+        return self._masks(self.item[::-1])
 
     @staticmethod
     def _masks(item: str) -> dict[str, int]:
@@ -162,6 +175,30 @@ class Matcher:
         return [(self.items[i], back[s + 1] if plain[s] == " " else back[s], back[e - 1] + (plain[e - 1] != " "), d) for (i, s, e), d in found.items()]
 
 
+def _places(narrow: DataFrame, items: Broadcast, item_type: str, error_rate: float) -> DataFrame:
+    """Places of the items, (name, text) each, in ``doc_id``, ``text``."""
+    id_type = narrow.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(items.value, error_rate)
+        for batch in batches:
+            rows = []
+            for doc_id, text in zip(batch.column(0), batch.column(1)):
+                rows += [(doc_id.as_py(), *hit) for hit in matcher.find(text.as_py())]
+            if rows:
+                columns = list(zip(*rows))
+                types = [batch.schema.field(0).type, None, pa.int64(), pa.int64(), pa.int64()]
+                yield pa.record_batch(
+                    [pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "item_id", "start", "end", "distance"]
+                )
+
+    return narrow.mapInArrow(tidy(run), f"doc_id {id_type}, item_id {item_type}, start long, end long, distance long")
+
+
+def _chars(items: DataFrame) -> int:
+    return items.agg(F.sum(F.char_length("text"))).first()[0] or 0
+
+
 def find_items(
     docs: DataFrame,
     items: DataFrame,
@@ -177,34 +214,29 @@ def find_items(
 
     Places are characters of the original text. An item without words, and a NULL text on either side, match
     nothing. Repeated rows and items are matched each; a NULL id stays NULL. Empty tables give no row;
-    other columns are ignored. Nothing is shuffled but the items.
+    other columns are ignored. Nothing is shuffled but the items and, with more than one block of them, the places. With more
+    than one block the search runs when this is called. A very long text takes memory for itself and 8 bytes a character.
     """
     spark = docs.sparkSession
     narrow = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).where("text IS NOT NULL")
     wanted = items.select(items[item_col].alias("item_id"), items[item_text_col].alias("text")).where("text IS NOT NULL")
-    kinds = [t.schema[c].dataType.simpleString() for t, c in ((narrow, "doc_id"), (wanted, "item_id"))]
-    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, start long, end long, distance long"
-    chars = wanted.agg(F.sum(F.char_length("text"))).first()[0] or 0
-    blocks = -(-chars // block_chars) or 1
-    numbered = wanted.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
-
-    def of_block(number: int) -> DataFrame:
-        own = [tuple(r) for r in numbered.where(F.col("block") == number).select("item_id", "text").toLocalIterator()]
-        shared = spark.sparkContext.broadcast(own)  # about block_chars characters
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value, error_rate)
-            for batch in batches:
-                rows = []
-                for doc_id, text in zip(batch.column(0), batch.column(1)):
-                    rows += [(doc_id.as_py(), *hit) for hit in matcher.find(text.as_py())]
-                if rows:
-                    columns = list(zip(*rows))
-                    types = [batch.schema.field(0).type, None, pa.int64(), pa.int64(), pa.int64()]
-                    yield pa.record_batch(
-                        [pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "item_id", "start", "end", "distance"]
-                    )
-
-        return narrow.mapInArrow(tidy(run), schema)
-
-    return reduce(DataFrame.unionByName, [of_block(k) for k in range(blocks)])
+
+    def shared(rows: DataFrame) -> Broadcast:
+        return spark.sparkContext.broadcast([tuple(r) for r in rows.toLocalIterator()])  # about block_chars characters
+
+    if _chars(wanted) <= block_chars:
+        return _places(narrow, shared(wanted), wanted.schema["item_id"].dataType.simpleString(), error_rate)
+
+    work = Work(spark)
+    named = work.keep(wanted.withColumn("key", F.md5("text")))
+    once = work.keep(named.groupBy("key").agg(F.any_value("text").alias("text")))
+    blocks = min(once.count(), -(-_chars(once) // block_chars))
+    # Sorted by block, so that reading one of them skips the others.
+    dealt = work.keep(once.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks))).sort("block"))
+    found = []
+    for k in range(blocks):
+        block = shared(dealt.where(F.col("block") == k).select("key", "text"))
+        found.append(work.keep(_places(narrow, block, "string", error_rate)))
+        block.destroy()
+    places = reduce(DataFrame.unionByName, found).withColumnRenamed("item_id", "key")
+    return places.join(named.select("key", "item_id"), "key").select("doc_id", "item_id", "start", "end", "distance")

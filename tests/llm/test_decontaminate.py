@@ -97,3 +97,23 @@ def test_every_place_once():
     text = "x Some words, of an item to be found. y some words of an iten to be found"
     got = sorted(matcher.find(text), key=lambda r: r[1])
     assert [(text[s:e], d) for _, s, e, d in got] == [("Some words, of an item to be found", 0), ("some words of an iten to be found", 1)]
+
+
+def test_equal_items_and_many_blocks(spark):
+    """Equal texts are searched once and named each, in one block or in many; a NULL item id stays NULL."""
+    texts = [f"item number {chr(97 + k)}{chr(98 + k)} asks what comes after {chr(97 + k) * 5}" for k in range(20)]
+    items = [(k, t) for k, t in enumerate(texts)] + [(100, texts[0]), (101, texts[0]), (100, texts[0]), (None, texts[1])]
+    docs = [(k, f"before {t.upper()} after") for k, t in enumerate(texts)] + [(0, f"before {texts[0].upper()} after")]
+    table = spark.createDataFrame([(*d, "k", 1) for d in docs], "doc_id long, text string, key string, block int")
+    bench = spark.createDataFrame([(*i, 5) for i in items], "item_id long, text string, key int")
+    got = [sorted(map(repr, find_items(table, bench, block_chars=n).collect())) for n in (10**6, 400)]
+    assert len(got[0]) == 2 * 4 + 2 + 18
+    assert got[0] == got[1]
+
+
+def test_very_long_text(spark):
+    item = "the question that a very long text holds at its very end"
+    text = "nothing but filler, " * 150_000
+    docs = spark.createDataFrame([(1, text + item + "."), (2, text)], "doc_id long, text string")
+    row = find_items(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert [tuple(r) for r in row] == [(1, 7, len(text), len(text) + len(item), 0)]

@@ -15,6 +15,7 @@ from parcelwise.operators.kpi import (
     rent_to_wage,
     with_price_per_sqm,
 )
+from parcelwise.sources.scratch import scratch_folder, written
 
 # Output columns of the dimensions, and the stored column each comes from.
 UNIT_COLUMNS = {
@@ -41,6 +42,8 @@ OPTIONAL_COLUMNS = ("busstopdistance", "caffedistance", "parkingdistance")
 LISTING_KEY = ("id", "listing_type", "source_date")
 CITY_COUNTY = "%m.%"
 ROW_ID = "row_id"
+# What the fact table reads of the numbered listings.
+FACT_COLUMNS = (ROW_ID, "city", "source_date", "rooms", "type", "listing_type", "price", "squaremeters", "poicount")
 
 
 def surrogate_key(df: DataFrame, name: str, keys: Sequence[str], digits: int = 4) -> DataFrame:
@@ -50,17 +53,23 @@ def surrogate_key(df: DataFrame, name: str, keys: Sequence[str], digits: int = 4
     shares of the rows whatever the data looks like, rows are numbered inside their
     bucket, and start numbers come from the counts per bucket. That table has at most
     ``16 ** digits`` rows, so it may be broadcast. The keys depend on the data alone, not
-    on partitions or runs; rows with equal key columns follow the other columns.
+    on partitions or runs; rows with equal key columns follow the other columns. Whether a
+    hash stands twice is told by the same counts, which are taken when this is called: if none
+    does, the other columns order nothing, and a reader of few columns shuffles only those.
     """
     if not 1 <= digits <= 5:
         raise ValueError("digits must be 1 to 5: the table of buckets is broadcast")
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys]
     digest = F.md5(F.concat_ws("\u001f", *parts).cast("binary"))
-    hashed = df.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, digits))
-    sizes = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    bucket = F.substring("_digest", 1, digits)
+    digests = df.select(digest.alias("_digest")).withColumn("_bucket", bucket)
+    each = digests.groupBy("_bucket", F.unhex("_digest").alias("_whole")).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = written(each.groupBy("_bucket").agg(F.sum("_n").alias("_size"), F.max("_n").alias("_most")), f"{scratch_folder(df.sparkSession)}/sizes")
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    rest = [c for c in df.columns if c not in keys]
+    repeated = (sizes.agg(F.max("_most")).first()[0] or 0) > 1
+    rest = [c for c in df.columns if c not in keys] if repeated else []
+    hashed = df.withColumn("_digest", digest).withColumn("_bucket", bucket)
     inside = Window.partitionBy("_bucket").orderBy("_digest", *keys, *rest)
     numbered = hashed.withColumn("_number", F.row_number().over(inside))
     return numbered.join(F.broadcast(starts), "_bucket").select(

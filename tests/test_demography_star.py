@@ -94,3 +94,20 @@ def test_optional_distances_are_null(spark, column):
     df = spark.range(1).select(F.lit(1).alias("row_id"), *[F.lit("1").alias(c) for c in have])
     dim = R.dim_infrastructure(df)
     assert dict(dim.dtypes)[column] == "decimal(10,2)" and dim.first()[column] is None
+
+
+def test_keys_that_stand_once_carry_no_other_columns(spark):
+    df = spark.range(200).selectExpr("id AS k", "id % 7 AS wide", "id % 5 AS v")
+    once = R.surrogate_key(df, "key", ["k"]).select("key", "v")
+    assert "wide" not in once._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["key"] for r in once.collect()) == list(range(1, 201))
+
+
+def test_repeated_keys_follow_the_other_columns(spark):
+    df = spark.createDataFrame([(None, 3), (None, 1), ("a", 9), (None, 2)], "k string, v int")
+    got = sorted((r["key"], r["v"]) for r in R.surrogate_key(df.repartition(3), "key", ["k"]).select("key", "v").collect())
+    assert [v for _, v in got if v != 9] == [1, 2, 3] and [n for n, _ in got] == [1, 2, 3, 4]
+
+
+def test_surrogate_keys_of_no_rows(spark):
+    assert R.surrogate_key(spark.range(0).selectExpr("id AS k"), "key", ["k"]).count() == 0

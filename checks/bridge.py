@@ -144,7 +144,11 @@ def _closure(names) -> list[str]:
 
 
 def view(spark, sf_dir: str, name: str):
-    """One bridge view as DataFrame."""
+    """One bridge view as DataFrame.
+
+    The views are wide projections, which Spark otherwise puts into methods that the JVM does not compile; ``jobs.py`` sets the same.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     for table in TABLES:
         spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
     for needed in _closure([name]):

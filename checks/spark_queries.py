@@ -391,9 +391,9 @@ def dim_demography(spark, sf):
 
 
 def fact_offers(spark, sf):
-    # As the job runs it: each table is written once, and the branches read what they need of it.
+    # As the job runs it: each table is written once, here with what the fact reads, and the branches take their columns of it.
     folder = scratch_folder(spark)
-    rows = written(numbered(spark, sf), f"{folder}/numbered")
+    rows = written(numbered(spark, sf).select(*R.FACT_COLUMNS), f"{folder}/numbered")
     people = written(wages(spark, sf), f"{folder}/demography")
     return R.fact_offers(rows, written(R.dim_time(rows), f"{folder}/time"), people)
 

@@ -56,7 +56,7 @@ def nearest_poi(
             break
         last = ring > span
         near = nearest_neighbors(open_, known, 1, ring, list(order), group=["_kind"], radius=ring, lat="_y", lon="_x", folder=f"{folder}/ring_{at}")
-        near = written(near.select("_y", "_x", "_kind", F.col("near")[0].alias("_near")), f"{folder}/near_{at}")
+        near = near.select("_y", "_x", "_kind", F.col("near")[0].alias("_near"))  # tables already
         found.append(near)
         if last:
             break

@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from parcelwise.operators.spatial import nearest_neighbors
 from parcelwise.sources.scratch import scratch_folder, written
 
-#: Width of the first ring in degrees (about 2 km), and by how much every further one is wider.
+#: Width of the first search in degrees (about 2 km).
 FIRST_RING = 0.018
-WIDER = 8
 # The distance columns of the infrastructure dimension, and the kinds of points they are about.
 POI_DISTANCES = {"busstopdistance": "bus_stop", "caffedistance": "cafe", "parkingdistance": "parking"}
 
@@ -32,9 +31,9 @@ def nearest_poi(
 ) -> DataFrame:
     """For every distinct place and kind the nearest point: ``lat``, ``lon``, ``kind``, ``dist`` and ``near`` (the ``order`` columns).
 
-    The search goes by rings. A ring looks for the nearest point within its width; what it finds is final, as nothing nearer
-    can lie outside, and only places without any go on to a ring ``WIDER`` times as wide, until the ring spans all points. So a
-    place in town costs one small search, and few places see the wide rings, where crowded cells are split as in every neighbour search.
+    The first search looks within ``first_ring``; what it finds is final, as nothing nearer can lie outside. Only places without any go
+    on to a second, which begins with cells as wide as all points and splits those that may hold the nearest. So there are two
+    searches however far the points lie, and the driver makes a plan for every split of two searches instead of for those of every ring.
     Of points at one distance the first by ``order`` counts. Places and points without coordinates take no part; kinds that have no point give no row.
     """
     spark, folder = places.sparkSession, scratch_folder(places.sparkSession)
@@ -43,25 +42,23 @@ def nearest_poi(
         F.col(kind).alias("_kind"), F.col(poi_lat).cast("double").alias("_y"), F.col(poi_lon).cast("double").alias("_x"), *order
     )
     known = written(known, f"{folder}/known")
+    extent = [f(c).alias(f"{f.__name__}{c}") for c in ("_y", "_x") for f in (F.min, F.max)]
+    present = known.groupBy("_kind").agg(*extent).collect()  # some of ``kinds``
     asked = located(places, lat, lon).select(F.col(lat).cast("double").alias("_y"), F.col(lon).cast("double").alias("_x")).distinct()
-    extent = known.select("_y", "_x").unionByName(asked).agg(F.max("_y") - F.min("_y"), F.max("_x") - F.min("_x")).first()
-    present = [r["_kind"] for r in known.select("_kind").distinct().collect()]  # some of ``kinds``
-    here = F.explode(F.array(*[F.lit(k) for k in present])) if present else F.lit(None).cast("string")
-    open_ = asked.select("_y", "_x", here.alias("_kind")).where("_kind IS NOT NULL")
-    span = max([x for x in extent if x is not None], default=0.0)
-    found, ring, at = [], first_ring, 0
-    while True:
-        open_ = written(open_, f"{folder}/open_{at}")
-        if open_.isEmpty():
-            break
-        last = ring > span
-        near = nearest_neighbors(open_, known, 1, ring, list(order), group=["_kind"], radius=ring, lat="_y", lon="_x", folder=f"{folder}/ring_{at}")
-        near = near.select("_y", "_x", "_kind", F.col("near")[0].alias("_near"))  # tables already
-        found.append(near)
-        if last:
-            break
-        open_ = open_.join(near, ["_y", "_x", "_kind"], "left_anti")
-        ring, at = ring * WIDER, at + 1
+    here = F.explode(F.array(*[F.lit(r["_kind"]) for r in present])) if present else F.lit(None).cast("string")
+    open_ = written(asked.select("_y", "_x", here.alias("_kind")).where("_kind IS NOT NULL"), f"{folder}/open_0")
+    ends = [*present, open_.agg(*extent).first()]
+    search = lambda open_, cell, radius, at: nearest_neighbors(
+        open_, known, 1, cell, list(order), group=["_kind"], radius=radius, lat="_y", lon="_x", folder=f"{folder}/search_{at}"
+    ).select("_y", "_x", "_kind", F.col("near")[0].alias("_near"))  # tables already
+    found = []
+    if ends[-1]["min_y"] is not None:
+        span = max(max(r[f"max{c}"] for r in ends) - min(r[f"min{c}"] for r in ends) for c in ("_y", "_x"))
+        found.append(search(open_, first_ring, first_ring, 0))
+        open_ = written(open_.join(found[0], ["_y", "_x", "_kind"], "left_anti"), f"{folder}/open_1")
+        if not open_.isEmpty():
+            # Wider than all points lie apart, so any two are in neighbouring cells.
+            found.append(search(open_, max(span * (1 + 1e-6), first_ring), None, 1))
     columns = [F.col("_y").alias(lat), F.col("_x").alias(lon), F.col("_kind").alias(kind), F.col("_near.dist").alias("dist"), F.col("_near.row").alias("near")]
     if not found:
         empty = spark.createDataFrame([], "_y double, _x double, _kind string, dist double")

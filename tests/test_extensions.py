@@ -36,6 +36,16 @@ def test_nearest_poi_equals_brute_force(spark):
     assert N.nearest_poi(df, poi.limit(0), ["cafe"]).collect() == [] and N.nearest_poi(df.limit(0), poi, ["cafe"]).collect() == []
 
 
+def test_nearest_poi_takes_two_searches_however_far(spark, monkeypatch):
+    searches, search = [], N.nearest_neighbors
+    monkeypatch.setattr(N, "nearest_neighbors", lambda *a, **k: searches.append(a[3]) or search(*a, **k))
+    df = spark.createDataFrame([(0.0, 0.0), (0.5, 0.0), (80.0, 170.0)], "latitude double, longitude double")
+    poi = spark.createDataFrame([("cafe", "a", "s", "1", 0.0, 0.001)], "poi_type string, name string, street string, number string, lat double, lon double")
+    got = {r["latitude"]: r["dist"] for r in N.nearest_poi(df, poi, ["cafe"]).collect()}
+    assert got == {0.0: pytest.approx(0.001), 0.5: pytest.approx((0.25 + 1e-6) ** 0.5), 80.0: pytest.approx((6400 + 169.999**2) ** 0.5)}
+    assert len(searches) == 2
+
+
 def test_counts_come_out_of_the_write(spark, tmp_path):
     rows = [("a.csv", ""), ("a.csv", "bad"), ("b.csv", "bad"), ("b.csv", "worse")]
     # A row that is counted in a second run of the plan would be counted twice here.

@@ -105,7 +105,7 @@ def snapshot_changes(spark, sf):
 
 def incremental_load(spark, sf):
     """Three slices of months, loaded out of order, one of them wrong at first and then again."""
-    folder, rows = scratch_folder(spark), written(listings(spark, sf), scratch_folder(spark))
+    folder, rows = scratch_folder(spark), listings(spark, sf)
     early, middle, late = (rows.where(w) for w in ("year(source_date) < 1997", "year(source_date) IN (1997, 1998)", "year(source_date) > 1998"))
     wrong = middle.withColumn("price", F.col("price") * 2).where("rooms IS NOT NULL")
     for part in (late, wrong, early, middle):

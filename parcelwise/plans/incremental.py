@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from parcelwise.functions.scalars import normalize_city
 from parcelwise.operators.kpi import COMPARABLE, POI_CUT, RENT, SELL, with_price_per_sqm
 from parcelwise.operators.star import LISTING_KEY
+from parcelwise.sources.observed import RowCounts
+from parcelwise.sources.scratch import scratch_folder, written
 
 FACTS, PARTS = "offers", "price_parts"
 MONTH = "source_date"
@@ -32,16 +34,23 @@ def load_months(listings: DataFrame, folder: str, keys: Sequence[str] = LISTING_
 
     A month is one partition of each table, written as a whole (dynamic partition overwrite), so a load can be repeated after
     a failure. Rows without a month can't be loaded and are left out; an empty frame changes nothing. Months are dealt to tasks by a
-    rebalancing shuffle: few files a month, and a month that is too large for a task is split.
+    rebalancing shuffle: few files a month, and a month that is too large for a task is split. ``listings`` is computed once: the
+    sums are made from the facts as written, of the months that the write names.
     """
     rows = with_price_per_sqm(listings).where(F.col(MONTH).isNotNull())
     rows = rows.withColumns({MONTH: F.col(MONTH).cast("string"), "offer_key": stable_key(*keys), "city_norm": normalize_city("city")})
     side = F.when(F.col("poicount") > POI_CUT, "high").when(F.col("poicount") <= POI_CUT, "low")
-    rows = rows.withColumn(_SIDE, side).withColumn("_price", F.col("price_per_sqm").cast("decimal(28,12)"))
-    parts = rows.where("_price IS NOT NULL").groupBy(MONTH, *COMPARABLE, _SIDE).agg(F.sum("_price").alias("total"), F.count("_price").alias("n"))
-    for name, df in ((FACTS, rows.drop("_price")), (PARTS, parts)):
-        dealt = df.hint("rebalance", MONTH)
-        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(f"{folder}/{name}")
+    counts, rows = RowCounts(), rows.withColumn(_SIDE, side)
+    _write_months(counts.watch(rows.hint("rebalance", MONTH), FACTS, months=F.collect_set(MONTH)), f"{folder}/{FACTS}")
+    months = counts.of(FACTS)["months"]  # as many as the load has, each a partition of the table
+    facts = listings.sparkSession.read.schema(rows.schema).parquet(f"{folder}/{FACTS}").where(F.col(MONTH).isin(months)) if months else rows
+    parts = facts.withColumn("_price", F.col("price_per_sqm").cast("decimal(28,12)")).where("_price IS NOT NULL")
+    parts = parts.groupBy(MONTH, *COMPARABLE, _SIDE).agg(F.sum("_price").alias("total"), F.count("_price").alias("n"))
+    _write_months(parts.hint("rebalance", MONTH), f"{folder}/{PARTS}")
+
+
+def _write_months(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
 
 
 def read_facts(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,6 +58,7 @@ def read_facts(spark: SparkSession, folder: str) -> DataFrame:
     facts = spark.read.parquet(f"{folder}/{FACTS}").withColumn(MONTH, F.col(MONTH).cast("string"))
     parts = spark.read.parquet(f"{folder}/{PARTS}")
     means = parts.groupBy(*[F.col(c).alias(f"_g{k}") for k, c in enumerate(COMPARABLE)]).agg((F.sum("total").cast("double") / F.sum("n")).alias("_mean"))
+    means = written(means, scratch_folder(spark))  # Spark knows their size then, and shuffles the facts only where they don't fit a task
     of_side = lambda side: F.coalesce(
         F.sum(F.when(F.col(_SIDE) == side, F.col("total"))).cast("double") / F.sum(F.when(F.col(_SIDE) == side, F.col("n"))), F.lit(0.0)
     )

@@ -105,6 +105,21 @@ def test_months_one_by_one_equal_all_at_once(spark, tmp_path):
     assert keys.select("offer_key").distinct().count() == keys.count()
 
 
+def test_a_load_computes_its_listings_once(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [offer(rng, k, m) for m in ("2024-01", "2024-02") for k in range(20)]
+    passed, df = spark.sparkContext.accumulator(0), listings(spark, rows)
+
+    def seen(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    M.load_months(df.mapInArrow(seen, df.schema), f"{tmp_path}/star")
+    assert passed.value == len(rows)
+    assert M.read_facts(spark, f"{tmp_path}/star").count() == len(rows)
+
+
 def test_stream_goes_on_after_a_restart(spark, tmp_path):
     def deliver(name, rows):
         (tmp_path / "in").mkdir(exist_ok=True)

@@ -9,7 +9,7 @@ from parcelwise.operators.quality import REASON
 from parcelwise.plans import incremental as M
 from parcelwise.plans import jobs
 from parcelwise.sources import files as X
-from parcelwise.sources.observed import RowCounts, files_report, watch_files
+from parcelwise.sources.observed import RowCounts, files_report, watch_files, watch_rejects
 from parcelwise.streaming import intake
 
 
@@ -65,6 +65,25 @@ def test_counts_come_out_of_the_write(spark, tmp_path):
     assert passed.value == len(rows)
 
 
+def test_columns_of_accepted_rows_are_not_made_where_only_rejects_are_written(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def wide(k: int) -> str:
+        made.add(1)
+        return f"row {k}"
+
+    rows = [("a.csv", k, "" if k % 10 else "bad") for k in range(100)] + [("b.csv", 100, "worse"), (None, 101, "bad")]
+    df = spark.createDataFrame(rows, f"source_file string, k int, `{REASON}` string")
+    validated = df.select("source_file", F.udf(wide, "string")("k").alias("wide"), REASON)
+    counts = RowCounts()
+    X.write_rejects(watch_rejects(counts, validated, "x", ["a.csv", "b.csv", "c.csv"], "source_file"), f"{tmp_path}/rejects")
+    report = files_report(counts, validated, "x", ["a.csv", "b.csv", "c.csv"], "source_file").collect()
+    assert sorted(map(tuple, report)) == [("a.csv", 90, 10, False), ("b.csv", 0, 1, True)]
+    assert counts.of("x")["rows"] == len(rows) and made.value == 12
+    back = spark.read.option("header", True).csv(f"{tmp_path}/rejects")
+    assert sorted(r["wide"] for r in back.collect()) == sorted(f"row {k}" for _, k, reason in rows if reason)
+
+
 def test_check_job_runs_its_plan_once(spark, tmp_path, monkeypatch):
     raw = tmp_path / "raw"
     raw.mkdir()

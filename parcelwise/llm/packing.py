@@ -19,6 +19,7 @@ padded for being the end. Nothing is shuffled; the sequence number holds the par
 from __future__ import annotations
 
 import re
+import string
 import sys
 from array import array
 from bisect import bisect_right
@@ -46,13 +47,13 @@ class WordIds(dict):
 
     The tokenizer drops white space and never joins what it separates, so a text's ids are
     those of its words. A plain word is asked of the library's model directly, in lower case
-    and apart from punctuation behind it, which its rules always cut off; anything else goes
+    and apart from ASCII punctuation behind it, which its rules always cut off as one piece; anything else goes
     through the whole library. At ``limit`` words the table becomes the older generation, which
     is still looked at, so frequent words stay and memory is bounded.
     """
 
     #: Letters whose lower case and normal form are one character each.
-    _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+    _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)")
 
     def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
@@ -97,8 +98,9 @@ class WordIds(dict):
     def _encode(self, word: bytes) -> bytes:
         if word.isalpha():  # ASCII letters only, which are the same in every alphabet here
             return _packed(map(_id_of, self.model.tokenize(word.decode()))) if word.islower() else self[word.lower()]
-        if word[-1] in _MARKS and word[:-1].isalpha():
-            return self[word[:-1].lower()] + self[word[-1:]]
+        plain = word.rstrip(_MARKS)
+        if plain.isalpha() and plain != word:
+            return self[plain.lower()] + self[word[len(plain) :]]
         text = word.decode()
         plain = self._PLAIN.fullmatch(text)
         if not plain:
@@ -110,7 +112,7 @@ class WordIds(dict):
 
 
 _id_of = attrgetter("id")
-_MARKS = b".,;:!?"
+_MARKS = string.punctuation.encode()
 
 
 def _packed(ids: Iterable[int]) -> bytes:
@@ -120,6 +122,12 @@ def _packed(ids: Iterable[int]) -> bytes:
     return numbers.tobytes()
 
 
+def words_of(text: bytes) -> list[bytes]:
+    """The words of a text, A-Z in lower case where the ids are the same: the tokenizer does so too, after it has found its control
+    strings and joined letters with marks (U+0300 to U+033F, which begin with this byte) behind them."""
+    return (text if b"<|" in text or b"\xcc" in text else text.lower()).split()
+
+
 @lru_cache(maxsize=1)
 def id_table(path: str) -> WordIds:
     """One table for all tasks of a Python worker."""
@@ -282,7 +290,7 @@ def pack(
         for batch in batches:
             kind = batch.schema.field(0).type
             for doc_id, text in zip(batch.column(0), texts_of(batch)):
-                own = text.split() if text else []
+                own = words_of(text) if text else []
                 stream.add(doc_id.as_py(), b"".join(map(words.__getitem__, own)) + end)
                 if stream.held >= block_tokens:
                     yield from given(last=False)

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from parcelwise.llm.packing import TOKENIZER, WordIds, cut, pack
+from parcelwise.llm.packing import TOKENIZER, WordIds, cut, pack, words_of
 
 PATH = public_tokenizers.path(TOKENIZER)
 library = Tokenizer.from_file(PATH)
@@ -25,6 +25,28 @@ def test_words_give_the_ids_of_the_text(parts):
     assert np.frombuffer(got, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+CASED = ["J\u030c T\u0308", "<|ENDOFTEXT|>", "İI\u0307", "É'S été", "Oieux###", "K%%%", "X\u0331", '"Hello," ', " a_b|", "Don'T", "ΑΣ."]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PARTS + CASED), max_size=25))
+def test_words_in_lower_case_give_the_ids_of_the_text(parts):
+    text = "".join(parts)
+    got = b"".join(map(words.__getitem__, words_of(text.encode())))
+    assert np.frombuffer(got, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_word_is_asked_of_the_model_once_however_it_is_written():
+    own, asked = WordIds(PATH), []
+    model = own.model
+    own.model = type("Model", (), {"tokenize": lambda self, text: asked.append(text) or model.tokenize(text)})()
+    own.tokenizer = None  # none of these needs it but the marks, which the model knows as well
+    own[b"###"] = own[b"%%"] = own[b"..."] = b""
+    for word in words_of(b"Street STREET street street### Street%% sTREET... street"):
+        own[word]
+    assert asked == ["street"] and len(own) == 3 + 4
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 16), st.sampled_from([0, 3, 8])), min_size=1, max_size=40))
 def test_cuts_are_the_cheapest(steps):

@@ -443,7 +443,9 @@ def score_texts(
                 hashed = _joined(part.column(2), "<u8")
                 sizes = np.fromiter((len(x.as_py()) // 8 for x in part.column(2)), np.int64, len(own))
                 owner = np.repeat(np.arange(len(own)), sizes)
-                where = np.minimum(np.searchsorted(keys, hashed), max(0, len(keys) - 1))
+                order = np.argsort(hashed)  # neighbours are looked up together, so less of the long table passes the caches
+                where = np.empty(len(hashed), np.int64)
+                where[order] = np.minimum(np.searchsorted(keys, hashed[order]), max(0, len(keys) - 1))
                 found = keys[where] == hashed if len(keys) else np.zeros(len(hashed), bool)
                 add = lambda values: np.bincount(owner[found], values[where[found]], len(own))  # noqa: B023, E731
                 tail_ends = np.cumsum(np.bincount(owner[~found], minlength=len(own)))

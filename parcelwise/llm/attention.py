@@ -16,23 +16,50 @@ import numpy as np
 
 #: A bias this low leaves no probability.
 NEVER = np.float32(-1e4)
+#: So many windows are worked on at a time that their arrays stay in a core's cache.
+SLICE = 128
+
+
+def _column_exp(scores: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """e to the scores plus ``mask``, but for a factor by column, and the sums of the columns (over the last axis but one);
+    ``scores`` are used up."""
+    ones = np.ones(scores.shape[1], scores.dtype)
+    scores += mask
+    with np.errstate(over="ignore"):
+        out = np.exp(scores)
+    sums = ones @ out
+    if not (sums.min(initial=1) > 1e-20 and sums.max(initial=1) < 1e20):
+        scores -= scores.max(axis=1, keepdims=True)
+        out = np.exp(scores)
+        sums = ones @ out
+    return out, sums
+
+
+def _row_exp(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """e to the scores, but for a factor by row; the rows' sums, and the logarithms of the sums without that factor; ``scores`` are used up."""
+    ones = np.ones(scores.shape[1], scores.dtype)
+    with np.errstate(over="ignore"):
+        out = np.exp(scores)
+    sums = out @ ones
+    if sums.min(initial=1) > 1e-20 and sums.max(initial=1) < 1e20:
+        return out, sums, np.log(sums)
+    low = scores.max(axis=1)
+    scores -= low[:, None]
+    out = np.exp(scores)
+    sums = out @ ones
+    return out, sums, np.log(sums) + low
 
 
 def _softmax(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Probabilities by row and the logarithm of each row's sum; ``scores`` are used up."""
-    n = scores.shape[-1]
-    flat = scores.reshape(-1, n)
-    ones = np.ones(n, flat.dtype)
-    low = flat.max(initial=NEVER)  # one number for all rows, as long as no row lies far below it
-    out = np.exp(flat - low)
-    sums = out @ ones
-    if sums.min(initial=1) < 1e-20:
-        low = flat.max(axis=1, keepdims=True)
-        out = np.exp(flat - low)
-        sums = out @ ones
-        low = low[:, 0]
+    out, sums, logs = _row_exp(scores.reshape(-1, scores.shape[-1]))
     out /= sums[:, None]
-    return out.reshape(scores.shape), (np.log(sums) + low).reshape(scores.shape[:-1])
+    return out.reshape(scores.shape), logs.reshape(scores.shape[:-1])
+
+
+def _turned(rows: np.ndarray) -> np.ndarray:
+    """Columns for rows in every window."""
+    return np.ascontiguousarray(rows.transpose(0, 2, 1))
 
 
 @dataclass
@@ -76,106 +103,121 @@ class Attention:
         self.top_bias[used] -= np.float32(np.log(shares.sum()))
 
     def _mask(self) -> np.ndarray:
-        """0 where the scored place in the row may look, a large negative number elsewhere."""
-        ahead = np.arange(2 * self.half)[None, :] > self.half + np.arange(self.half)[:, None]
+        """0 where the scored place of the column may look at the place of the row, a large negative number elsewhere."""
+        ahead = np.arange(2 * self.half)[:, None] > self.half + np.arange(self.half)[None, :]
         return np.where(ahead, NEVER, np.float32(0))
 
     def _by_group(self, rows: np.ndarray, targets: np.ndarray):
-        """Rows in the order of their class's group: (order, limits of the groups, rows, groups, class in the group, its scores)."""
-        size = self.bias.shape[1]
-        groups, inner = np.divmod(targets, size)
-        order = np.argsort(groups.astype(np.int16), kind="stable")
-        groups, inner, rows = groups[order], inner[order], rows[order]
-        limits = np.searchsorted(groups, np.arange(len(self.bias) + 1))
+        """Rows in the order of their class's group: (order, limits of the groups, rows, places of the target's group and of its
+        class in arrays of all scores, scores of the groups, of the group's classes)."""
+        groups, size = self.bias.shape
+        group, inner = np.divmod(targets.astype(np.int16), np.int16(size))
+        order = np.argsort(group, kind="stable")
+        limits = np.concatenate([[0], np.cumsum(np.bincount(group, minlength=groups))])
+        rows = rows.take(order, axis=0)
         scores = np.empty((len(rows), size), rows.dtype)
-        for g, (a, b) in enumerate(zip(limits[:-1], limits[1:])):
-            if a < b:
-                np.matmul(rows[a:b], self.out[g], out=scores[a:b])
-                scores[a:b] += self.bias[g]
-        return order, limits, rows, groups, inner, scores
+        for g in range(groups):
+            own = slice(limits[g], limits[g + 1])
+            np.matmul(rows[own], self.out[g], out=scores[own])
+            scores[own] += self.bias[g]
+        number = np.arange(len(rows))
+        first = rows @ self.top
+        first += self.top_bias
+        return order, limits, rows, number * groups + group.take(order), number * size + inner.take(order), first, scores
 
     def log_probabilities(self, symbols: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """windows x half: log P(class of the next symbol | the symbols so far)."""
-        scale = self.embed.dtype.type(self.query.shape[0] ** -0.5)
+        width, mask, mixed = self.query.shape[0], self._mask(), self.value @ self.mix
+        query = self.query * self.embed.dtype.type(width**-0.5)
         # Projections are linear, so they are taken of the tables once instead of at every place.
-        keys, values = self.embed @ self.key, self.embed @ self.value @ self.mix
-        at_keys, at_values = self.place @ self.key, self.place @ self.value @ self.mix
-        here = self.embed.take(symbols[:, self.half :], axis=0) + self.place[self.half :]
-        queries = here @ (self.query * scale)
-        weights = queries @ (keys.take(symbols, axis=0) + at_keys).transpose(0, 2, 1)
-        weights += self._mask()
-        weights, _ = _softmax(weights)
-        here += weights @ (values.take(symbols, axis=0) + at_values)
-        order, _, rows, groups, inner, scores = self._by_group(here.reshape(-1, here.shape[2]), targets.ravel())
-        number, out = np.arange(len(rows)), np.empty(len(rows), rows.dtype)
-        first = rows @ self.top + self.top_bias
-        logs = first[number, groups] + scores[number, inner]
-        logs -= _softmax(first)[1]
-        logs -= _softmax(scores)[1]
+        keys, values = self.embed @ self.key, self.embed @ mixed
+        at_keys, at_values = self.place @ self.key, self.place @ mixed
+        rows = np.empty((*targets.shape, width), self.embed.dtype)
+        for at in range(0, len(symbols), SLICE):
+            own, here = symbols[at : at + SLICE], rows[at : at + SLICE]
+            np.add(self.embed.take(own[:, self.half :], axis=0), self.place[self.half :], out=here)
+            k, v = keys.take(own, axis=0), values.take(own, axis=0)
+            k += at_keys
+            v += at_values
+            weights, sums = _column_exp(k @ _turned(here @ query), mask)
+            seen = weights.transpose(0, 2, 1) @ v
+            seen /= sums[:, :, None]
+            here += seen
+        order, _, _, groups, classes, first, scores = self._by_group(rows.reshape(-1, width), targets.ravel())
+        logs = first.ravel().take(groups) + scores.ravel().take(classes)
+        logs -= _row_exp(first)[2]
+        logs -= _row_exp(scores)[2]
+        out = np.empty_like(logs)
         out[order] = logs
         return out.reshape(targets.shape)
 
     def step(self, symbols: np.ndarray, targets: np.ndarray, counted: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """The mean loss over ``counted`` places and its gradients."""
-        half, width = self.half, self.query.shape[0]
+        half, width, mask = self.half, self.query.shape[0], self._mask()
         scale = self.embed.dtype.type(width**-0.5)
-        x = self.embed.take(symbols, axis=0) + self.place
-        x2, late = x.reshape(-1, width), x[:, half:].reshape(-1, width)
-        both = np.concatenate([self.key, self.value], axis=1)
-        k_v = (x2 @ both).reshape(*x.shape[:2], 2 * width)
-        k, v = k_v[..., :width], k_v[..., width:]
-        q = (late @ (self.query * scale)).reshape(-1, half, width)
-        weights = q @ k.transpose(0, 2, 1)
-        weights += self._mask()
-        weights, _ = _softmax(weights)
-        seen = weights @ v
-        flat = late + seen.reshape(-1, width) @ self.mix
-
-        order, limits, rows, groups, inner, p = self._by_group(flat, targets.ravel())
-        number, share = np.arange(len(rows)), counted.ravel()[order]
-        n = max(1, share.sum())
-        first = rows @ self.top + self.top_bias
-        logs = first[number, groups] + p[number, inner]
-        first, sums = _softmax(first)
-        logs -= sums
-        p, sums = _softmax(p)
-        logs -= sums
-        loss = float(-(logs * share).sum() / n)
-        share = (share / n).astype(p.dtype)[:, None]
-        first[number, groups] -= 1
-        p[number, inner] -= 1
-        first *= share
-        p *= share
-        d_rows = first @ self.top.T
-        d_out, d_bias = np.zeros_like(self.out), np.zeros_like(self.bias)
-        for g, (a, b) in enumerate(zip(limits[:-1], limits[1:])):
-            if a < b:
-                d_rows[a:b] += p[a:b] @ self.out[g].T
-                d_out[g] = rows[a:b].T @ p[a:b]
-                d_bias[g] = p[a:b].sum(axis=0)
-        d_here = np.empty_like(d_rows)
-        d_here[order] = d_rows
-
-        d_seen = (d_here @ self.mix.T).reshape(seen.shape)
-        d_scores = d_seen @ v.transpose(0, 2, 1)
-        d_scores -= (d_seen * seen).sum(axis=2, keepdims=True)  # the mean of d_scores under the weights
-        d_scores *= weights
-        d_q = (d_scores @ k).reshape(-1, width)
-        d_k_v = np.empty_like(k_v)
-        np.matmul(d_scores.transpose(0, 2, 1), q, out=d_k_v[..., :width])
-        np.matmul(weights.transpose(0, 2, 1), d_seen, out=d_k_v[..., width:])
-        d_k_v = d_k_v.reshape(-1, 2 * width)
-        d_x = (d_k_v @ both.T).reshape(x.shape)
-        d_x[:, half:] += (d_here + d_q @ (self.query * scale).T).reshape(-1, half, width)
-        d_both = x2.T @ d_k_v
-        flat_symbols, columns = symbols.ravel(), np.ascontiguousarray(d_x.reshape(-1, width).T)
-        d_embed = np.stack([np.bincount(flat_symbols, column, len(self.embed)) for column in columns], axis=1)
-        return loss, {
-            "embed": d_embed.astype(self.embed.dtype), "place": d_x.sum(axis=0), "query": late.T @ d_q * scale, "key": d_both[:, :width],
-            "value": d_both[:, width:], "mix": seen.reshape(-1, width).T @ d_here, "top": rows.T @ first, "top_bias": first.sum(axis=0),
-            "out": d_out, "bias": d_bias,
+        query, both = self.query * scale, np.concatenate([self.key, self.value @ self.mix], axis=1)
+        back = np.ascontiguousarray(both.T)
+        rows = np.empty((*targets.shape, width), self.embed.dtype)
+        slices, held = [slice(at, at + SLICE) for at in range(0, len(symbols), SLICE)], []
+        for own in slices:
+            x = self.embed.take(symbols[own], axis=0)
+            x += self.place
+            k_v, q = x @ both, x[:, half:] @ query
+            weights, sums = _column_exp(k_v[..., :width] @ _turned(q), mask)
+            seen = weights.transpose(0, 2, 1) @ k_v[..., width:]
+            seen /= sums[:, :, None]
+            np.add(x[:, half:], seen, out=rows[own])
+            held.append((x, k_v, q, weights, sums, seen))
+
+        loss, d_rows, slopes = self._output_slopes(rows.reshape(-1, width), targets.ravel(), counted.ravel())
+        d_rows = d_rows.reshape(rows.shape)
+        d_x, d_both, d_query = np.empty((*symbols.shape, width), rows.dtype), np.zeros_like(both), np.zeros_like(query)
+        for own, (x, k_v, q, weights, sums, seen) in zip(slices, held):
+            d_here = d_rows[own]
+            d_seen = d_here / sums[:, :, None]  # as ``weights`` are not divided by their sums
+            d_scores = k_v[..., width:] @ _turned(d_seen)
+            d_scores -= np.einsum("bij,bij->bi", d_seen, seen)[:, None]
+            d_scores *= weights
+            d_q = d_scores.transpose(0, 2, 1) @ k_v[..., :width]
+            d_k_v = np.empty_like(k_v)
+            np.matmul(d_scores, q, out=d_k_v[..., :width])
+            np.matmul(weights, d_seen, out=d_k_v[..., width:])
+            np.matmul(d_k_v, back, out=d_x[own])
+            d_x[own, half:] += d_here
+            d_x[own, half:] += d_q @ query.T
+            d_both += (x.transpose(0, 2, 1) @ d_k_v).sum(axis=0)
+            d_query += (x[:, half:].transpose(0, 2, 1) @ d_q).sum(axis=0)
+        flat, columns = symbols.ravel(), d_x.reshape(-1, width).T.astype(np.float64, order="C")
+        d_embed = np.stack([np.bincount(flat, column, len(self.embed)) for column in columns], axis=1)
+        return loss, slopes | {
+            "embed": d_embed.astype(self.embed.dtype), "place": d_x.sum(axis=0), "query": d_query * scale, "key": d_both[:, :width],
+            "value": d_both[:, width:] @ self.mix.T, "mix": self.value.T @ d_both[:, width:],
         }
 
+    def _output_slopes(self, rows: np.ndarray, targets: np.ndarray, counted: np.ndarray) -> tuple[float, np.ndarray, dict[str, np.ndarray]]:
+        """(mean loss, slope of each row, those of the two levels of classes)."""
+        order, limits, rows, groups, classes, first, p = self._by_group(rows, targets)
+        share = (counted / max(1, counted.sum())).astype(rows.dtype).take(order)
+        logs = first.ravel().take(groups) + p.ravel().take(classes)
+        first, sums, low = _row_exp(first)
+        logs -= low
+        first *= (share / sums)[:, None]
+        p, sums, low = _row_exp(p)
+        logs -= low
+        p *= (share / sums)[:, None]
+        first.ravel()[groups] -= share
+        p.ravel()[classes] -= share
+        d_sorted, ones = first @ self.top.T, np.ones(len(rows), rows.dtype)
+        d_out, d_bias = np.empty_like(self.out), np.empty_like(self.bias)
+        for g in range(len(self.bias)):
+            own = slice(limits[g], limits[g + 1])
+            d_sorted[own] += p[own] @ self.out[g].T
+            d_out[g] = rows[own].T @ p[own]
+            d_bias[g] = ones[own] @ p[own]
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
+        return -float(logs @ share), d_sorted.take(back, axis=0), {"top": rows.T @ first, "top_bias": ones @ first, "out": d_out, "bias": d_bias}
+
     def train(self, symbols: np.ndarray, targets: np.ndarray, counted: np.ndarray, *, steps: int, batch: int, rate: float, seed: int) -> list[float]:
         """Adam over random windows, the rate falling to nothing; the losses of the steps."""
         rng = np.random.default_rng(seed)
@@ -191,17 +233,25 @@ class Adam:
 
     def __init__(self, model: Attention):
         self.model, self.t = model, 0
-        self.first = {name: np.zeros_like(getattr(model, name)) for name in model.NAMES}
-        self.second = {name: np.zeros_like(getattr(model, name)) for name in model.NAMES}
+        self.sizes = [getattr(model, name).size for name in model.NAMES]
+        self.first, self.second = (np.zeros(sum(self.sizes), model.embed.dtype) for _ in range(2))
 
     def step(self, symbols: np.ndarray, targets: np.ndarray, counted: np.ndarray, rate: float) -> float:
         loss, slopes = self.model.step(symbols, targets, counted)
         self.t += 1
-        for name, g in slopes.items():
-            self.first[name] += 0.1 * (g - self.first[name])
-            self.second[name] += 0.01 * (g * g - self.second[name])
-            move = self.first[name] / (1 - 0.9**self.t) / (np.sqrt(self.second[name] / (1 - 0.99**self.t)) + 1e-8)
-            getattr(self.model, name)[...] -= (rate * move).astype(np.float32)
+        g = np.concatenate([slopes[name].ravel() for name in self.model.NAMES])
+        self.first += 0.1 * (g - self.first)
+        g *= g
+        g -= self.second
+        g *= 0.01
+        self.second += g
+        move = np.sqrt(self.second / (1 - 0.99**self.t))
+        move += 1e-8
+        np.divide(self.first, move, out=move)
+        move *= rate / (1 - 0.9**self.t)
+        for name, own in zip(self.model.NAMES, np.split(move, np.cumsum(self.sizes)[:-1])):
+            weights = getattr(self.model, name)
+            weights -= own.reshape(weights.shape)
         return loss
 
 
@@ -211,17 +261,21 @@ def overlapping(ids: list[np.ndarray], half: int) -> tuple[np.ndarray, np.ndarra
     The texts are taken as one array with a 0 before each and after the last; places index into that array.
     A scored place of -1 lies behind the end of its text; a read place of 0 before its start.
     """
-    read, scored, owners, at = [], [], [], 1
-    for k, own in enumerate(ids):
-        n = len(own)
-        starts = np.arange(0, n, half)
-        goal = starts[:, None] + np.arange(half)
-        seen = starts[:, None] + np.arange(-half, half) - 1
-        scored.append(np.where(goal < n, goal + at, -1))
-        read.append(np.where((seen >= 0) & (seen < n), seen + at, 0))
-        owners.append(np.full(len(starts), k))
-        at += n
-    return np.concatenate(read), np.concatenate(scored), np.concatenate(owners)
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+    n_windows = -(-sizes // half)
+    owners = np.repeat(np.arange(len(ids)), n_windows)
+    begin = half * (np.arange(len(owners)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows))
+    at = begin + np.repeat(1 + np.cumsum(sizes) - sizes, n_windows)
+    goal = np.arange(half)
+    scored, read = at[:, None] + goal, at[:, None] + np.arange(-half - 1, half - 1)
+    # Only a text's first two windows reach before its start, and only its last behind its end.
+    read[begin == 0, : half + 1] = 0
+    read[begin == half, 0] = 0
+    left = (sizes[owners] - begin)[:, None]
+    last = np.flatnonzero(left[:, 0] < half)
+    scored[last] = np.where(goal < left[last], scored[last], -1)
+    read[last, half:] = np.where(goal <= left[last], read[last, half:], 0)
+    return read, scored, owners
 
 
 def pieces(ids: list[np.ndarray], half: int, most: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:

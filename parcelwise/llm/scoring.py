@@ -232,7 +232,7 @@ class Language:
         symbols[0] = 0
         for at in range(0, len(read), most):
             goal = scored[at : at + most]
-            logs = self.attention.log_probabilities(symbols[read[at : at + most]], classes[goal]) + within[goal]
+            logs = self.attention.log_probabilities(symbols.take(read[at : at + most]), classes.take(goal)) + within.take(goal)
             logs[goal < 0] = 0
             owner = owners[at : at + most]
             total[owner[0] : owner[-1] + 1] += np.bincount(owner - owner[0], logs.sum(axis=1))
@@ -308,7 +308,7 @@ def _windows(language: Language, texts: list[np.ndarray]) -> tuple[np.ndarray, n
     flat, read, scored, _ = windows(texts, language.attention.half)
     symbols = language.symbol_of[flat]
     symbols[0] = 0
-    return symbols[read], language.class_of[flat[scored]], (scored >= 0).astype(np.float32)
+    return symbols.take(read), language.class_of[flat].take(scored, mode="wrap"), (scored >= 0).astype(np.float32)
 
 
 def _texts(column: pa.Array, most: int = 1 << 17) -> Iterator[list[np.ndarray]]:

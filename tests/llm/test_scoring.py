@@ -6,7 +6,8 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from parcelwise.llm.attention import Attention, _softmax, overlapping, windows
+from parcelwise.llm import attention
+from parcelwise.llm.attention import Attention, _column_exp, _row_exp, _softmax, overlapping, windows
 from parcelwise.llm.scoring import CLASSES, END, Language, _learn, score_texts
 
 
@@ -85,6 +86,29 @@ def test_probabilities_sum_to_one_and_training_helps():
     assert isinstance(language, Language) and language.class_of.max() < CLASSES
 
 
+def test_slices_of_windows_give_the_same_step(monkeypatch):
+    rng = np.random.default_rng(6)
+    model = Attention.fresh(30, 11, 8, 4, seed=2)
+    symbols, targets = rng.integers(0, 30, (23, 8)), rng.integers(0, 11, (23, 4))
+    counted = (rng.random((23, 4)) < 0.8).astype(np.float32)
+    loss, slopes = model.step(symbols, targets, counted)
+    logs = model.log_probabilities(symbols, targets)
+    for size in (1, 5, 23):
+        monkeypatch.setattr(attention, "SLICE", size)
+        again, other = model.step(symbols, targets, counted)
+        assert again == pytest.approx(loss, rel=1e-5) and all(np.allclose(other[name], slopes[name], atol=1e-5) for name in model.NAMES)
+        assert np.allclose(model.log_probabilities(symbols, targets), logs, atol=1e-5)
+
+
+def test_scores_that_e_cannot_hold_keep_their_probabilities():
+    scores = np.array([[[90, -200], [500, -201], [500, -200]]], np.float32)
+    out, sums = _column_exp(scores.copy(), np.array([[0, 0], [0, 0], [0, -1e4]], np.float32))
+    assert np.allclose((out / sums[:, None])[0].T, [[0, 0.5, 0.5], [0.7311, 0.2689, 0]], atol=1e-3)
+    out, sums, logs = _row_exp(np.array([[0, 1, 2], [-900, -901, -900], [500, 0, -1e4]], np.float32))
+    assert (out / sums[:, None])[1] == pytest.approx([0.4223, 0.1554, 0.4223], abs=1e-3)
+    assert logs == pytest.approx([2.4076, -899.138, 500], abs=1e-2)
+
+
 def plain_log10(language, ids):
     """One id after the other, every sum written out."""
     model, total = language.attention, 0.0

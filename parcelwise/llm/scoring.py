@@ -28,6 +28,7 @@ from itertools import islice
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from parcelwise.llm.attention import Adam, Attention, windows
 from parcelwise.llm.neardup import Work
 from parcelwise.llm.packing import TOKENIZER, id_table
-from parcelwise.llm.words import keep_heap, texts, tidy
+from parcelwise.llm.words import keep_heap, tidy
 
 HEAD_WORDS = 1_000_000
 SAMPLE_ROWS = 800
@@ -52,6 +53,7 @@ ROUND_RATE = 0.006
 _UNIT = 1 << 20
 _MARKS = 200
 TABLE_WORDS = 400_000
+_CUT_BYTES = 1 << 20  # texts are cut into words so many bytes at a time, and a text more
 END = 49407
 #: The word that closes every text; no word of a text holds white space.
 END_WORD = b"\n"
@@ -79,12 +81,12 @@ class Vocabulary:
         self.hashes, self.starts = np.zeros(0, np.uint64), np.zeros(1, np.int64)
         self.pool = np.zeros(0, "<u2")
 
-    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hash of each word, number of ids of each word, all ids)."""
+    def read(self, words: list[bytes], which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash of each word, number of ids of each word, all ids) of a text of ``words``, which are different, given by their places."""
         if len(self.numbers) > self.limit:
             self._clear()
         known = len(self.numbers)
-        numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))[which]
         new = list(islice(self.numbers, known, None))
         if new:
             own = [np.uint32(END).tobytes() if w == END_WORD else self.table[w] for w in new]
@@ -117,29 +119,37 @@ def _binary(limits: np.ndarray, values: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(limits) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
 
 
+def _cut(column: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(different words, the place there of every word of the texts, words of each text), an end behind each text included."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column, "")))
+    words = lists.flatten()
+    full = pc.binary_length(words).to_numpy() > 0  # white space before or after a text leaves an empty word
+    limits = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+    stops = np.concatenate([[0], np.cumsum(full)])[limits]
+    found = words.filter(pa.array(full)).dictionary_encode()
+    _, offsets, raw = found.dictionary.buffers()
+    raw, at = raw.to_pybytes() if raw else b"", np.frombuffer(offsets, np.int32)[: len(found.dictionary) + 1].tolist()
+    different = [*(raw[a:b] for a, b in zip(at, at[1:])), END_WORD]
+    which = np.insert(found.indices.to_numpy(), stops[1:], len(different) - 1)
+    return different, which, np.diff(stops) + 1
+
+
 def _encoded(docs: DataFrame, path: str) -> DataFrame:
     """(``doc_id``, ``train``, ``draw``, ``fold``, ``words``, ``ids``) of ``doc_id``, ``train``, ``text``: hashes of the words, eight
     bytes each, and ids, two bytes each, of every row, ends included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(path)
-
-        def rows(part: pa.RecordBatch, words: list[bytes], sizes: list[int]) -> pa.RecordBatch:
-            hashes, lengths, ids = vocabulary.read(words)
-            at = np.cumsum([0, *sizes])
-            id_at = np.concatenate([[0], np.cumsum(lengths)])[at]
-            return pa.record_batch([*part.columns[:4], _binary(at, hashes), _binary(id_at, ids)], names=["doc_id", "train", "draw", "fold", "words", "ids"])
-
         for batch in batches:
-            words, sizes, first = [], [], 0
-            for k, text in enumerate(texts(batch, 4)):
-                own = (text or b"").lower().split()
-                words += own
-                words.append(END_WORD)
-                sizes.append(len(own) + 1)
-                if len(words) > 200_000 or k + 1 == batch.num_rows:
-                    yield rows(batch.slice(first, k + 1 - first), words, sizes)
-                    words, sizes, first = [], [], k + 1
+            stops = np.cumsum(pc.fill_null(pc.binary_length(batch.column(4)), 0).to_numpy().astype(np.int64))
+            last = np.flatnonzero(np.diff(stops // _CUT_BYTES, append=-1))
+            for first, end in zip([0, *(last[:-1] + 1)], last + 1):
+                part = batch.slice(first, end - first)
+                words, which, sizes = _cut(part.column(4))
+                hashes, lengths, ids = vocabulary.read(words, which)
+                at = np.concatenate([[0], np.cumsum(sizes)])
+                id_at = np.concatenate([[0], np.cumsum(lengths)])[at]
+                yield pa.record_batch([*part.columns[:4], _binary(at, hashes), _binary(id_at, ids)], names=["doc_id", "train", "draw", "fold", "words", "ids"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     narrow = docs.select("doc_id", "train", F.xxhash64("doc_id"), F.pmod(F.xxhash64("text"), F.lit(ROUNDS)).cast("int"), "text")
@@ -178,7 +188,7 @@ def count_corpus(encoded: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 is_train = part.column(0)
-                for trains, own in ((True, part.filter(is_train)), (False, part.filter(pa.compute.invert(is_train)))):
+                for trains, own in ((True, part.filter(is_train)), (False, part.filter(pc.invert(is_train)))):
                     keys, n = np.unique(_joined(own.column(1), "<u8"), return_counts=True)
                     held.append((keys, n if trains else np.zeros(len(n), np.int64), n))
                     n_held += len(keys)
@@ -248,16 +258,15 @@ def _common(counts: np.ndarray, symbols: int) -> np.ndarray:
 def _neighbours(texts: list[np.ndarray], common: np.ndarray, n: int) -> np.ndarray:
     """By common id: how often each of the first of them, another id or a border stands left and right of it."""
     marks = _MARKS + 1
-    place, mark = np.full(n + 1, -1), np.full(n + 1, _MARKS)
+    place, mark = np.full(n + 1, len(common)), np.full(n + 1, _MARKS)
     place[common] = np.arange(len(common))
     mark[common[:_MARKS]] = np.arange(min(_MARKS, len(common)))
     flat = np.concatenate([x for own in texts for x in (own, [n])] or [np.zeros(0)]).astype(np.int64)
-    out = np.zeros(len(common) * 2 * marks, np.int64)
-    left, right = flat[:-1], flat[1:]
-    for a, b, at in ((left, right, 0), (right, left, marks)):
-        known = place[a] >= 0
-        out += np.bincount(place[a[known]] * 2 * marks + at + mark[b[known]], minlength=len(out))
-    return out.reshape(len(common), 2 * marks)
+    row, column = (place * 2 * marks).take(flat), mark.take(flat)
+    size = (len(common) + 1) * 2 * marks  # other ids and borders share the last row, which goes
+    out = np.bincount(row[:-1] + column[1:], minlength=size)
+    out += np.bincount(row[1:] + marks + column[:-1], minlength=size)
+    return out.reshape(-1, 2 * marks)[: len(common)]
 
 
 def _clusters(common: np.ndarray, neighbours: np.ndarray, ends: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:

@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelwise.operators.spatial import nearest_neighbors
-from parcelwise.sources.scratch import scratch_folder, written
+from parcelwise.sources.observed import RowCounts
+from parcelwise.sources.scratch import dropped, scratch_folder, written
 
 #: Width of the first search in degrees (about 2 km).
 FIRST_RING = 0.018
+# The cells of the second search are cut so finely at first, a power of two: 256 of them.
+WIDE_PARTS = 16
 # The distance columns of the infrastructure dimension, and the kinds of points they are about.
 POI_DISTANCES = {"busstopdistance": "bus_stop", "caffedistance": "cafe", "parkingdistance": "parking"}
 
@@ -32,7 +35,7 @@ def nearest_poi(
     """For every distinct place and kind the nearest point: ``lat``, ``lon``, ``kind``, ``dist`` and ``near`` (the ``order`` columns).
 
     The first search looks within ``first_ring``; what it finds is final, as nothing nearer can lie outside. Only places without any go
-    on to a second, which begins with cells as wide as all points and splits those that may hold the nearest. So there are two
+    on to a second, which begins with cells as wide as all points, cut into 256, and splits those that may hold the nearest. So there are two
     searches however far the points lie, and the driver makes a plan for every split of two searches instead of for those of every ring.
     Of points at one distance the first by ``order`` counts. Places and points without coordinates take no part; kinds that have no point give no row.
     """
@@ -46,19 +49,23 @@ def nearest_poi(
     present = known.groupBy("_kind").agg(*extent).collect()  # some of ``kinds``
     asked = located(places, lat, lon).select(F.col(lat).cast("double").alias("_y"), F.col(lon).cast("double").alias("_x")).distinct()
     here = F.explode(F.array(*[F.lit(r["_kind"]) for r in present])) if present else F.lit(None).cast("string")
-    open_ = written(asked.select("_y", "_x", here.alias("_kind")).where("_kind IS NOT NULL"), f"{folder}/open_0")
-    ends = [*present, open_.agg(*extent).first()]
-    search = lambda open_, cell, radius, at: nearest_neighbors(
-        open_, known, 1, cell, list(order), group=["_kind"], radius=radius, lat="_y", lon="_x", folder=f"{folder}/search_{at}"
+    seen = RowCounts()
+    open_ = seen.watch(asked.select("_y", "_x", here.alias("_kind")).where("_kind IS NOT NULL"), "open", **{k: f(c) for c in ("_y", "_x") for k, f in ((f"min{c}", F.min), (f"max{c}", F.max))})
+    open_ = written(open_, f"{folder}/open_0")
+    search = lambda open_, cell, radius, at, parts=1: nearest_neighbors(
+        open_, known, 1, cell, list(order), group=["_kind"], radius=radius, lat="_y", lon="_x", folder=f"{folder}/search_{at}", keep_steps=False, parts=parts
     ).select("_y", "_x", "_kind", F.col("near")[0].alias("_near"))  # tables already
     found = []
-    if ends[-1]["min_y"] is not None:
+    if seen.of("open")["rows"]:
+        ends = [*present, seen.of("open")]
         span = max(max(r[f"max{c}"] for r in ends) - min(r[f"min{c}"] for r in ends) for c in ("_y", "_x"))
         found.append(search(open_, first_ring, first_ring, 0))
-        open_ = written(open_.join(found[0], ["_y", "_x", "_kind"], "left_anti"), f"{folder}/open_1")
-        if not open_.isEmpty():
+        open_ = written(seen.watch(open_.join(found[0], ["_y", "_x", "_kind"], "left_anti"), "left"), f"{folder}/open_1")
+        dropped(spark, f"{folder}/open_0")
+        if seen.of("left")["rows"]:
             # Wider than all points lie apart, so any two are in neighbouring cells.
-            found.append(search(open_, max(span * (1 + 1e-6), first_ring), None, 1))
+            found.append(search(open_, max(span * (1 + 1e-6), first_ring), None, 1, WIDE_PARTS))
+    dropped(spark, *[f"{folder}/{name}" for name in ("known", "open_0", "open_1")])
     columns = [F.col("_y").alias(lat), F.col("_x").alias(lon), F.col("_kind").alias(kind), F.col("_near.dist").alias("dist"), F.col("_near.row").alias("near")]
     if not found:
         empty = spark.createDataFrame([], "_y double, _x double, _kind string, dist double")

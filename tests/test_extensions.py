@@ -187,3 +187,22 @@ def test_files_in_name_order_give_the_order(spark, tmp_path):
     assert len(files) > 3 and back == sorted(rows)
     placed = X.read_sorted(spark, f"{tmp_path}/t").orderBy("place").collect()
     assert [(r["a"], r["b"]) for r in placed] == sorted(rows) and [r["place"] for r in placed] == list(range(1, 801))
+
+
+def test_poi_search_starts_finely_and_leaves_what_it_found(spark, tmp_path, monkeypatch):
+    """Fewer steps for the driver to plan: far places begin with 256 cells, and tables of the steps go."""
+    steps, write = [], N.written
+
+    def counted(df, path):
+        steps.append(path.split("/")[-2:])
+        return write(df, path)
+
+    monkeypatch.setattr(N, "scratch_folder", lambda spark: str(tmp_path / "poi"))
+    monkeypatch.setattr(N, "written", counted)
+    monkeypatch.setattr("parcelwise.operators.spatial.written", counted)
+    df = spark.createDataFrame([(k, 0.0, 0.5 * k) for k in range(4)] + [(9, None, 0.0)], "k int, latitude double, longitude double")
+    poi = spark.createDataFrame([("cafe", "a", "s", "1", 0.0, 0.001)], "poi_type string, name string, street string, number string, lat double, lon double")
+    got = {r["k"]: r["cafedistance"] for r in N.with_poi_distances(df, poi, {"cafedistance": "cafe"}).collect()}
+    assert got == {0: pytest.approx(0.001), 1: pytest.approx(0.499), 2: pytest.approx(0.999), 3: pytest.approx(1.499), 9: None}
+    assert [n for at, n in steps if at == "search_1" and n.startswith("cells")] == ["cells_16"] and len(steps) == 13
+    assert {p.name.split("_")[0] for at in (tmp_path / "poi").iterdir() for p in at.iterdir()} == {"near"}

@@ -16,11 +16,13 @@ from parcelwise.functions.scalars import normalize_city
 from parcelwise.operators.kpi import COMPARABLE, POI_CUT, RENT, SELL, with_price_per_sqm
 from parcelwise.operators.star import LISTING_KEY
 from parcelwise.sources.observed import RowCounts
-from parcelwise.sources.scratch import scratch_folder, written
+from parcelwise.sources.scratch import dropped, scratch_folder, shuffles_freed, written
 
 FACTS, PARTS = "offers", "price_parts"
 MONTH = "source_date"
 _SIDE = "poi_side"
+#: Rows dealt to their months at a time, or an eighth of the load if that is more: so much is shuffled at once.
+TURN_ROWS = 4_000_000
 
 
 def stable_key(*columns: str) -> Column:
@@ -34,23 +36,42 @@ def load_months(listings: DataFrame, folder: str, keys: Sequence[str] = LISTING_
 
     A month is one partition of each table, written as a whole (dynamic partition overwrite), so a load can be repeated after
     a failure. Rows without a month can't be loaded and are left out; an empty frame changes nothing. Months are dealt to tasks by a
-    rebalancing shuffle: few files a month, and a month that is too large for a task is split. ``listings`` is computed once: the
-    sums are made from the facts as written, of the months that the write names.
+    rebalancing shuffle: few files a month, and a month that is too large for a task is split. ``listings`` is computed once, into a
+    table that goes when the load ends; months are dealt from it, a few at a time, so that only their shuffle lies on disk. The
+    sums are made from the facts as written.
     """
     rows = with_price_per_sqm(listings).where(F.col(MONTH).isNotNull())
     rows = rows.withColumns({MONTH: F.col(MONTH).cast("string"), "offer_key": stable_key(*keys), "city_norm": normalize_city("city")})
     side = F.when(F.col("poicount") > POI_CUT, "high").when(F.col("poicount") <= POI_CUT, "low")
-    counts, rows = RowCounts(), rows.withColumn(_SIDE, side)
-    _write_months(counts.watch(rows.hint("rebalance", MONTH), FACTS, months=F.collect_set(MONTH)), f"{folder}/{FACTS}")
-    months = counts.of(FACTS)["months"]  # as many as the load has, each a partition of the table
-    facts = listings.sparkSession.read.schema(rows.schema).parquet(f"{folder}/{FACTS}").where(F.col(MONTH).isin(months)) if months else rows
+    counts, rows, staged = RowCounts(), rows.withColumn(_SIDE, side), scratch_folder(listings.sparkSession)
+    staged_rows = written(counts.watch(rows, FACTS), staged)
+    # As many as the load has, each a partition of the table.
+    sizes = [] if not counts.of(FACTS)["rows"] else sorted(map(tuple, staged_rows.groupBy(MONTH).count().collect()))
+    for months in _in_turns(sizes, max(TURN_ROWS, counts.of(FACTS)["rows"] / 8)):
+        _write_months(staged_rows.where(F.col(MONTH).isin(months)).hint("rebalance", MONTH), f"{folder}/{FACTS}")
+    months = [month for month, _ in sizes]
+    facts = listings.sparkSession.read.schema(rows.schema).parquet(f"{folder}/{FACTS}").where(F.col(MONTH).isin(months)) if months else staged_rows
     parts = facts.withColumn("_price", F.col("price_per_sqm").cast("decimal(28,12)")).where("_price IS NOT NULL")
     parts = parts.groupBy(MONTH, *COMPARABLE, _SIDE).agg(F.sum("_price").alias("total"), F.count("_price").alias("n"))
     _write_months(parts.hint("rebalance", MONTH), f"{folder}/{PARTS}")
+    dropped(listings.sparkSession, staged)
+
+
+def _in_turns(sizes: Sequence[tuple[str, int]], most: float) -> list[list[str]]:
+    """The months in groups of about ``most`` rows; one with more is a group of its own."""
+    turns, held = [], most
+    for month, rows in sizes:
+        if held + rows > most:
+            turns.append([])
+            held = 0
+        turns[-1].append(month)
+        held += rows
+    return turns
 
 
 def _write_months(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(MONTH).parquet(path)
 
 
 def read_facts(spark: SparkSession, folder: str) -> DataFrame:

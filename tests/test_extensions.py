@@ -206,3 +206,23 @@ def test_poi_search_starts_finely_and_leaves_what_it_found(spark, tmp_path, monk
     assert got == {0: pytest.approx(0.001), 1: pytest.approx(0.499), 2: pytest.approx(0.999), 3: pytest.approx(1.499), 9: None}
     assert [n for at, n in steps if at == "search_1" and n.startswith("cells")] == ["cells_16"] and len(steps) == 13
     assert {p.name.split("_")[0] for at in (tmp_path / "poi").iterdir() for p in at.iterdir()} == {"near"}
+
+
+def test_months_are_loaded_in_turns(spark, tmp_path, monkeypatch):
+    """One month a turn gives what one turn for all gives; the load's own table goes and no shuffle outlives its write."""
+    rng, kept = random.Random(11), []
+    schema = "id int, city string, rooms int, type string, listing_type string, price double, squaremeters double, poicount int, source_date string"
+    rows = [
+        (k, rng.choice(["x", None]), rng.choice([2, None]), "flat", rng.choice(["sell", "rent"]), 100.0 + k, 10.0, rng.choice([1, 50, None]), rng.choice(["2024-01", "2024-02", "2024-03", None]))
+        for k in range(90)
+    ]
+    df = spark.createDataFrame(rows + rows[:5], schema)
+    M.load_months(df, f"{tmp_path}/at_once", ["id", "source_date"])
+    monkeypatch.setattr(M, "TURN_ROWS", 1)
+    folder = lambda spark: kept.append(f"{tmp_path}/scratch_{len(kept)}") or kept[-1]
+    monkeypatch.setattr(M, "scratch_folder", folder)
+    M.load_months(df, f"{tmp_path}/in_turns", ["id", "source_date"])
+    assert len(kept) == 1 and not (tmp_path / "scratch_0").exists()
+    read = [sorted(map(str, M.read_facts(spark, f"{tmp_path}/{name}").collect())) for name in ("at_once", "in_turns")]
+    assert read[0] == read[1] and len(read[0]) == sum(r[8] is not None for r in rows + rows[:5])
+    assert M._in_turns([("a", 3), ("b", 3), ("c", 9), ("d", 1)], 6) == [["a", "b"], ["c"], ["d"]] and M._in_turns([], 6) == []

@@ -7,7 +7,8 @@ after a failure doesn't count twice. So nothing but files is needed, and the tab
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import contextlib
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,16 @@ from parcelwise.sources.files import kind_from_filename, month_from_filename
 
 OFFER = ("id", "listing_type", "source_date")
 
+#: The state is as large as all keys of the span. Kept in the JVM it fills the heap, and all time goes to collecting garbage; so it
+#: is kept in RocksDB, on the executors' disks, with a bounded part in memory, and a batch adds only its changes to the checkpoint.
+_STORE = "spark.sql.streaming.stateStore"
+STATE = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
+    f"{_STORE}.rocksdb.maxMemoryUsageMB": "300",
+}
+
 
 def _delivered_in(path: Column) -> Column:
     """The file's name and its folder's: a folder of text counts by its name."""
@@ -34,6 +45,18 @@ def monthly_stream(spark: SparkSession, incoming: str, columns: Sequence[str], f
     return rows.select("*", month_from_filename(name).alias("source_date"), kind_from_filename(name).alias("listing_type"))
 
 
+@contextlib.contextmanager
+def _settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def take_in(
     rows: DataFrame, out: str, checkpoint: str, key: Sequence[str] = OFFER, late: str = "400 days", month: str = "source_date"
 ) -> int:
@@ -41,13 +64,14 @@ def take_in(
 
     An offer (``key``; NULLs equal) that was delivered before, up to ``late`` earlier than the newest month seen, is dropped, whichever
     of its rows came first stays. Months older than that are too late and left out; so are rows without a month. The state holds the
-    keys of that span and no more. Called again with the same ``checkpoint`` it goes on where it stopped, also after a failure.
+    keys of that span and no more; a checkpoint that holds its state otherwise goes on so. Called again with the same ``checkpoint`` it goes on where it stopped, also after a failure.
     """
     dated = rows.withColumn("_month", F.try_to_timestamp(F.concat(F.col(month), F.lit("-01")), F.lit("yyyy-MM-dd"))).where("_month IS NOT NULL")
     once = dated.withWatermark("_month", late).dropDuplicatesWithinWatermark(list(key)).drop("_month")
 
     sink = once.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    query = sink.trigger(availableNow=True).start(out)
+    with _settings(rows.sparkSession, STATE):  # a query keeps those it starts with
+        query = sink.trigger(availableNow=True).start(out)
     query.awaitTermination()
     progress = query.lastProgress
     return progress["batchId"] if progress else -1

@@ -226,3 +226,26 @@ def test_months_are_loaded_in_turns(spark, tmp_path, monkeypatch):
     read = [sorted(map(str, M.read_facts(spark, f"{tmp_path}/{name}").collect())) for name in ("at_once", "in_turns")]
     assert read[0] == read[1] and len(read[0]) == sum(r[8] is not None for r in rows + rows[:5])
     assert M._in_turns([("a", 3), ("b", 3), ("c", 9), ("d", 1)], 6) == [["a", "b"], ["c"], ["d"]] and M._in_turns([], 6) == []
+
+
+def test_stream_keeps_its_state_out_of_the_heap(spark, tmp_path, monkeypatch):
+    """A new checkpoint keeps its state in RocksDB; one that began otherwise goes on, and settings of the session stay."""
+    def deliver(at, name, ids):
+        (tmp_path / at).mkdir(exist_ok=True)
+        (tmp_path / at / name).write_text("id,price\n" + "".join(f"{k},5\n" for k in ids))
+
+    def run(at):
+        before = {k: spark.conf.get(k, None) for k in intake.STATE}
+        intake.take_in(intake.monthly_stream(spark, str(tmp_path / at), ["id", "price"]), f"{tmp_path}/{at}_out", f"{tmp_path}/{at}_state")
+        assert before == {k: spark.conf.get(k, None) for k in before}
+        return sorted(r["id"] for r in spark.read.parquet(f"{tmp_path}/{at}_out").collect())
+
+    deliver("new", "apartments_pl_2024_01.csv", [1, 2, 2])
+    assert run("new") == ["1", "2"] and "RocksDBStateStoreProvider" in (tmp_path / "new_state" / "offsets" / "0").read_text()
+    deliver("old", "apartments_pl_2024_01.csv", [1, 2, 2])
+    with monkeypatch.context() as m:
+        m.setattr(intake, "STATE", {})
+        assert run("old") == ["1", "2"]
+    for at in ("new", "old"):
+        deliver(at, "more_apartments_pl_2024_01.csv", [2, 3])
+        assert run(at) == ["1", "2", "3"]
